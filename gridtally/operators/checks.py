@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Alert levels. ``higher`` = larger is worse, ``lower`` = smaller is worse.
@@ -40,9 +40,9 @@ def reconcile_counts(approx: DataFrame, exact: DataFrame, keys: list[str], thres
 def severity_report(metrics: DataFrame, levels: DataFrame | None = None) -> DataFrame:
     """Measured values (scope, metric, value) to ok / warning / critical.
 
-    The level table has one row per metric kind, a handful, and is broadcast.
+    The built-in level table is six fixed rows and broadcast; one passed in is left to the planner.
     """
-    table = F.broadcast(alert_levels(metrics.sparkSession) if levels is None else levels)
+    table = F.broadcast(alert_levels(metrics.sparkSession)) if levels is None else levels
     passed = lambda bound: F.when(
         F.col("worse") == "higher", F.col("value") > F.col(bound)
     ).otherwise(F.col("value") < F.col(bound))
@@ -70,8 +70,6 @@ def exact_percentiles(
     bracket and the copies of each distinct value inside it. Only values inside the brackets, about
     4 / accuracy of a group, are ranked. The brackets are a handful of rows per group.
     """
-    from pyspark.sql import Window
-
     slack = 2.0 / accuracy
     edges = [e for p in points for e in (max(p - slack, 0.0), min(p + slack, 1.0))]
     known = rows.filter(F.col(value).isNotNull()).select(group, F.col(value).alias("v"))
@@ -100,7 +98,9 @@ def exact_percentiles(
     # Values below a bracket collapse into one row, so only the bracket itself is ranked.
     slot = F.when(F.col("v") >= F.col("low"), F.col("v"))
     steps = near.groupBy(group, "n", "p", "wanted", slot.alias("v")).agg(F.sum("copies").alias("copies"))
-    order = Window.partitionBy(group, "p").orderBy(F.asc_nulls_first("v"))
+    order = Window.partitionBy(group, "p").orderBy(F.asc_nulls_first("v")).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
     reached = steps.withColumn("upto", F.sum("copies").over(order)).filter(
         (F.col("upto") >= F.col("wanted")) & F.col("v").isNotNull()
     )

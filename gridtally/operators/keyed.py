@@ -83,11 +83,12 @@ def stuck_work(schedule: DataFrame, as_of, minutes: int, limit: int = STUCK_LIMI
 
 
 def claim_rows(schedule: DataFrame, chosen: DataFrame, status: str = "ENQUEUED", touch_at=None) -> DataFrame:
-    """The chosen jobs with their new status. ``chosen`` is a claim of at most a hundred keys.
+    """The chosen jobs with their new status.
 
-    Re-claiming stuck jobs also touches updated_at; a first claim does not.
+    Re-claiming stuck jobs also touches updated_at; a first claim does not. The limit in ``chosen``
+    tells the planner its size, which is what it needs to broadcast a claim.
     """
-    claimed = schedule.join(F.broadcast(chosen.select(*JOB_KEY)), JOB_KEY, "left_semi")
+    claimed = schedule.join(chosen.select(*JOB_KEY), JOB_KEY, "left_semi")
     claimed = claimed.withColumn("status", F.lit(status))
     if touch_at is not None:
         claimed = claimed.withColumn("updated_at", F.lit(str(touch_at)).cast("timestamp"))

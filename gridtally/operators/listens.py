@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from gridtally.operators import params
 from gridtally.operators.grid import listen_day
 
+# How many ways the followers of one user are split.
+FOLLOWER_SHARES = 256
+
 
 def dedup_events(listens: DataFrame) -> DataFrame:
     """One row per (day, event_id): the same id on two days stays twice.
@@ -86,17 +89,19 @@ def topk_payload(topk: DataFrame, users: DataFrame, days=None, k=None) -> DataFr
     )
 
 
-def topk_of_followed(follows: DataFrame, topk: DataFrame) -> DataFrame:
+def topk_of_followed(follows: DataFrame, topk: DataFrame, shares: int = FOLLOWER_SHARES) -> DataFrame:
     """Top-K songs of everyone a user follows.
 
-    Each followee's ranking is packed into one row before the join. A followee with very many
-    followers makes one big join partition, which AQE splits (``skewJoin``), since the packed side
-    has a single row for it.
+    One followee may have a third of all followers, so followers are split by hash into ``shares``.
+    Each followee's ranking is packed into one row (at most k songs) and copied only to the shares
+    that have followers, never more copies than result rows need anyway.
     """
     packed = topk.groupBy(F.col("user_id").alias("followee")).agg(
         F.collect_list(F.struct("song_id", "listen_count", "rank")).alias("songs")
     )
-    return follows.join(packed, "followee").select("follower", "followee", F.inline("songs"))
+    edges = follows.withColumn("share", F.pmod(F.xxhash64("follower"), F.lit(shares)))
+    copies = edges.select("followee", "share").distinct().join(packed, "followee")
+    return edges.join(copies, ["followee", "share"]).select("follower", "followee", F.inline("songs"))
 
 
 def exact_item_counts(listens: DataFrame) -> DataFrame:

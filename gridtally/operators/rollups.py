@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from gridtally.functions import as_instant
 from gridtally.operators.grid import GRID_H, GRID_W, assign_bucket, filter_event_type, grid_cell
+from gridtally.session import saved
 
 KEYS = ["client_id", "screen_id", "bucket_start", "cell_x", "cell_y"]
 
@@ -71,11 +72,16 @@ def reprocess_late(raw: DataFrame, hourly: DataFrame, run_start, run_end) -> dic
     """Corrected rows of just the hours, days and weeks touched by late arrivals.
 
     Only touched hours go back to raw events; days and weeks are re-added from the hourly tier with
-    those hours swapped in. The list of touched hours has at most one row per hour of the data, so
-    AQE turns the semi joins into broadcasts once it has seen their size.
+    those hours swapped in. The list of touched hours is evaluated and saved first: it has at most
+    one row per hour of the data, so the planner sees that it is small and raw events are never
+    shuffled for it. Where raw events carry their dt= and hour= folders, only those are opened.
     """
-    hours = late_buckets(raw, run_start, run_end)
-    events = assign_bucket(raw, "hour").join(hours, "bucket_start", "left_semi").drop("bucket_start")
+    hours = saved(late_buckets(raw, run_start, run_end), "late-hours")
+    if {"dt", "hour"} <= set(raw.columns):
+        folders = hours.select(F.to_date("bucket_start").alias("dt"), F.hour("bucket_start").alias("hour"))
+        events = raw.join(folders, ["dt", "hour"], "left_semi")
+    else:
+        events = assign_bucket(raw, "hour").join(hours, "bucket_start", "left_semi").drop("bucket_start")
     fixed = heatmap_hourly(events)
     current = hourly.select(*KEYS, "count").join(hours, "bucket_start", "left_anti").unionByName(fixed)
 

@@ -8,7 +8,8 @@ chunks that are worked on in parallel:
    are none);
 2. the few steps of each key are followed in chunk order, which gives the last kept time before
    every chunk;
-3. each chunk applies the rule from there.
+3. each chunk applies the rule from there; the last kept time travels as a marker row in front of
+   the chunk's own rows.
 
 Rows move between stages only by hashing on (key, chunk); Python sees Arrow blocks of whole chunks.
 """
@@ -69,11 +70,8 @@ def keep_spaced(
     steps = times.mapInArrow(_chunk_steps(gap_us, chunk_us), step_schema)
     enters = steps.groupBy(*keys).applyInPandas(_follow(keys, gap_us, chunk_us), enter_schema)
 
-    renamed = enters.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_chunk").alias("_c"), "_enter")
-    same = F.col("_chunk") == F.col("_c")
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    entered = chunked.join(renamed, same, "left").drop(*[f"_k{i}" for i in range(len(keys))], "_c")
+    markers = enters.withColumn("_at", F.lit(-1).cast("bigint"))
+    entered = chunked.withColumn("_enter", F.lit(None).cast("bigint")).unionByName(markers, allowMissingColumns=True)
     final = marked(entered, order).select(*df.columns, "_at", "_enter", "_first")
     return final.mapInArrow(_kept_rows(gap_us, chunk_us, df.columns), df.schema)
 
@@ -109,10 +107,9 @@ def _axis(gap_us: int, chunk_us: int):
     """Puts all groups of a table on one rising axis, far enough apart not to touch."""
     import numpy as np
 
-    def lay_out(table):
-        first = table.column("_first").to_numpy()
-        at = table.column("_at").to_numpy()
-        group = np.cumsum(first) - 1
+    def lay_out(table, rows=slice(None)):
+        group = (np.cumsum(table.column("_first").to_numpy()) - 1)[rows]
+        at = table.column("_at").to_numpy()[rows]
         axis = group * (chunk_us + 2 * gap_us) + at
         following = np.searchsorted(axis, axis + gap_us, side="left")
         inside = following < len(axis)
@@ -187,9 +184,9 @@ def _kept_rows(gap_us: int, chunk_us: int, columns: list[str]):
         import pyarrow as pa
 
         for table in tables(batches):
-            at, group, axis, following = lay_out(table)
-            heads = np.flatnonzero(table.column("_first").to_numpy())
-            enter = table.column("_enter").fill_null(-gap_us).to_numpy()[heads]
+            enter = table.column("_enter").fill_null(-gap_us).to_numpy()[table.column("_first").to_numpy()]
+            at, group, axis, following = lay_out(table, table.column("_at").to_numpy() >= 0)
+            heads = np.flatnonzero(np.diff(group, prepend=-1))
             floor = np.maximum(enter + gap_us, 0)
             begin = np.searchsorted(axis, axis[heads] - at[heads] + floor, side="left")
             ends = np.append(heads[1:], len(at))
@@ -204,6 +201,8 @@ def _kept_rows(gap_us: int, chunk_us: int, columns: list[str]):
                 here = following[here]
                 here = here[here >= 0]
                 here = np.unique(here[~kept[here]])
-            yield from table.select(columns).filter(pa.array(kept)).combine_chunks().to_batches()
+            own = table.column("_at").to_numpy() >= 0
+            own[own] = kept
+            yield from table.select(columns).filter(pa.array(own)).combine_chunks().to_batches()
 
     return run

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
@@ -56,3 +56,14 @@ def work_path(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="gridtally-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/gridtally/{name}-{uuid.uuid4().hex}"
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """Write to the shared folder and read back.
+
+    The result outlives lost executors, is computed once, and has a known size, so the planner can
+    decide for or against a broadcast before it plans the other side.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

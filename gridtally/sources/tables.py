@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from gridtally import schemas
 from gridtally.operators.rollups import KEYS
-from gridtally.session import work_path
+from gridtally.session import saved
 
 # Folder columns of each tier, derived from bucket_start: hourly tables by day and hour.
 TIER_FOLDERS = {"hourly": ["dt", "hour"], "daily": ["dt"], "weekly": ["dt"]}
@@ -46,22 +46,19 @@ def replace_buckets(rows: DataFrame, path: str, tier: str, buckets: list) -> Non
     touched.
     """
     spark = rows.sparkSession
-    wanted = spark.createDataFrame([(str(b),) for b in buckets], "b string").select(
-        F.col("b").cast("timestamp").alias("bucket_start")
-    )
-    staged_path = work_path(spark, "replace")
-    inside = rows.join(F.broadcast(wanted), "bucket_start", "left_semi")
-    inside.select(*KEYS, "count").write.parquet(staged_path)
-    staged = spark.read.schema(schemas.TIER_ROW).parquet(staged_path)
-
-    # One row per replaced bucket; the list of buckets came from the caller.
+    wanted = F.array(*[F.lit(str(b)).cast("timestamp") for b in buckets])
+    inside = rows.filter(F.array_contains(wanted, F.col("bucket_start")))
+    staged = saved(inside.select(*KEYS, "count"), "replace")
+
+    # One row per replaced bucket at most: the list came from the caller.
+    listed = spark.range(1).select(F.explode(wanted).alias("bucket_start"))
     filled = staged.select("bucket_start").distinct()
-    empty = _with_folders(wanted.join(filled, "bucket_start", "left_anti"), tier).collect()
+    empty = _with_folders(listed.join(filled, "bucket_start", "left_anti"), tier).collect()
     _sorted_writer(staged, tier).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-    columns = [f for f in schemas.TIER_ROW.fields]
+    nothing = staged.limit(0)
     for bucket in empty:
         folder = "/".join(f"{name}={bucket[name]}" for name in TIER_FOLDERS[tier])
-        spark.createDataFrame([], T.StructType(columns)).coalesce(1).write.mode("overwrite").parquet(f"{path}/{folder}")
+        nothing.write.mode("overwrite").parquet(f"{path}/{folder}")
 
 
 def append_delta(rows: DataFrame, path: str, batch_id: int, by: list[str]) -> None:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gridtally.operators import bloom, checks, grid, ingest, keyed, listens, rollups, sketches
+from gridtally.session import saved
 from workload import views
 from workload.registry import query
 
@@ -134,8 +135,8 @@ def _(spark, d):
     planned ids per day the filter makes no mistake on this data, so the exact answer is expected."""
     rows = views.listens_replayed(spark, d)
     seen = grid.listen_day(rows.filter("provider <> 'spotify'"))
-    filters = bloom.check_load(bloom.build_filter(seen))
-    return bloom.bloom_skip(rows, filters)
+    filters = saved(bloom.build_filter(seen), "bloom")
+    return bloom.bloom_skip(rows, bloom.check_load(filters))
 
 
 @query("expire_history", f"""WITH {views.LISTENS} SELECT user_id, day, event_id, song_id, provider FROM listens
