@@ -1,0 +1,91 @@
+import math
+from datetime import datetime
+
+import pytest
+
+from gridtally.operators import grid
+
+
+def test_cells_at_the_edges(spark):
+    points = [0.0, 0.29, 0.58, 0.999999, 1.0, None, float("nan"), -0.1, 1.2, 1e300, -1e300]
+    rows = spark.createDataFrame([(i, p, p) for i, p in enumerate(points)], "i int, x_norm double, y_norm double")
+    cells = {r.i: (r.cell_x, r.cell_y) for r in grid.grid_cell(rows).collect()}
+    assert [cells[i][0] for i in range(9)] == [0, 28, 57, 99, 99, None, 0, 0, 99]
+    assert cells[4][1] == 199 and cells[5][1] is None and cells[6][1] == 0
+    assert cells[9] == (99, 199) and cells[10] == (0, 0)
+
+
+def test_other_grid_sizes(spark):
+    rows = spark.createDataFrame([(0.5, 0.5)], "x_norm double, y_norm double")
+    cell = grid.grid_cell(rows, 7, 9).first()
+    assert (cell.cell_x, cell.cell_y) == (3, 4)
+
+
+def test_example_batch_cell(spark):
+    rows = spark.createDataFrame([(0.25, 0.20)], "x_norm double, y_norm double")
+    cell = grid.grid_cell(rows).first()
+    assert (cell.cell_x, cell.cell_y) == (25, 40)
+
+
+def test_normalize_clamps_and_keeps_null(spark):
+    rows = spark.createDataFrame([(10.0, 5.0), (-3.0, 700.0), (None, 50.0)], "x_px double, y_px double")
+    out = [(r.x_norm, r.y_norm) for r in grid.normalize_coords(rows, 100, 200, left=5.0).collect()]
+    assert out == [(0.05, 0.025), (0.0, 1.0), (None, 0.25)]
+
+
+@pytest.mark.parametrize(
+    "moment, week",
+    [
+        ("2024-02-04 23:59:59", "2024-01-29"),
+        ("2024-02-05 00:00:00", "2024-02-05"),
+        ("2024-03-01 12:00:00", "2024-02-26"),
+        ("2024-01-01 00:00:00", "2024-01-01"),
+        ("2023-12-31 23:59:59", "2023-12-25"),
+        ("2025-01-01 08:00:00", "2024-12-30"),
+    ],
+)
+def test_weeks_start_on_monday(spark, moment, week):
+    rows = spark.sql(f"SELECT TIMESTAMP '{moment}' AS event_time")
+    assert grid.assign_bucket(rows, "week").first().bucket_start == datetime.fromisoformat(week)
+
+
+def test_text_times_fall_into_utc_buckets(spark):
+    times = ["2026-02-02T10:15:00Z", "2026-02-02T00:30:00+05:30", "2026-02-02T10:15:00,5Z", "nonsense", None]
+    rows = spark.createDataFrame([(t,) for t in times], "event_time string")
+    hours = [r.bucket_start for r in grid.assign_bucket(rows, "hour").collect()]
+    ten = datetime(2026, 2, 2, 10)
+    assert hours == [ten, datetime(2026, 2, 1, 19), ten, None, None]
+
+
+def test_unknown_bucket_unit(spark):
+    with pytest.raises(ValueError):
+        grid.assign_bucket(spark.sql("SELECT now() AS event_time"), "month")
+
+
+def test_pixels_are_cell_centres(spark):
+    cells = spark.createDataFrame([(0, 0, 1), (99, 199, 1), (50, 100, 1)], "cell_x int, cell_y int, count long")
+    spots = [(r.x, r.y) for r in grid.cells_to_pixels(cells, 333, 777).collect()]
+    expected = [
+        (math.floor((x + 0.5) / 100 * 333), math.floor((y + 0.5) / 200 * 777)) for x, y in [(0, 0), (99, 199), (50, 100)]
+    ]
+    assert spots == expected
+
+
+def test_intensity_never_divides_by_zero(spark):
+    rows = spark.createDataFrame([("a", 0), ("a", 0), ("b", 4), ("b", 1)], "client_id string, count long")
+    out = grid.intensity_scale(rows, ("client_id",)).select("client_id", "max_count", "intensity")
+    assert sorted(tuple(r) for r in out.collect()) == [("a", 1, 0.0), ("a", 1, 0.0), ("b", 4, 0.25), ("b", 4, 1.0)]
+
+
+def test_listen_day_is_utc(spark):
+    rows = spark.createDataFrame([(1704067199,), (1704067200,)], "listened_at long")
+    days = [str(r.day) for r in grid.listen_day(rows).collect()]
+    assert days == ["2023-12-31", "2024-01-01"]
+
+
+def test_landing_folder_columns(spark):
+    from gridtally.sources.raw_files import with_landing_hour
+
+    rows = spark.createDataFrame([("2024-01-05T03:04:05Z",)], "event_time string")
+    row = with_landing_hour(rows).first()
+    assert (row.dt, row.hour) == ("2024-01-05", "03")

@@ -1,0 +1,52 @@
+"""Every registered query with DuckDB text, compared value by value."""
+
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as registered
+
+SF_DIR = f"/root/testdata/sf{os.environ.get('GRIDTALLY_SF', '0.001')}"
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
+SPARK_TYPES = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+    "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN",
+}
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
+    return con
+
+
+def _rows(rows, columns):
+    order = [columns.index(c) for c in sorted(columns)]
+    return sorted(tuple(repr(row[i]) for i in order) for row in rows)
+
+
+@pytest.mark.parametrize("name", sorted(registered.queries()))
+def test_query_matches_duckdb(spark, duck, name):
+    result = registered.queries()[name](spark, SF_DIR)
+    rows = [tuple(r) for r in result.collect()]
+    sql = registered.oracle_sql().get(name)
+    if sql is None:
+        assert rows
+        return
+    cursor = duck.execute(sql)
+    types = {c[0]: str(c[1]) for c in cursor.description}
+    assert {f.name: SPARK_TYPES[f.dataType.simpleString()] for f in result.schema} == types
+    assert _rows(rows, result.columns) == _rows(cursor.fetchall(), list(types))
+
+
+def test_entry_has_rows(spark):
+    assert registered.entry(spark).count() > 0
+
+
+def test_oracles_belong_to_queries():
+    assert set(registered.oracle_sql()) <= set(registered.queries())
