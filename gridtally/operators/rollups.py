@@ -68,6 +68,16 @@ def late_buckets(raw: DataFrame, run_start, run_end) -> DataFrame:
     return late.select("bucket_start").distinct()
 
 
+def in_folders_of(raw: DataFrame, hours: DataFrame, before) -> DataFrame:
+    """Raw events of the given hours, by folder; all of these hours start before ``before``.
+
+    Stating that bound makes Spark prune folders at run time with the broadcast list of hours.
+    """
+    known = hours.filter(F.col("bucket_start") < F.lit(str(before)).cast("timestamp"))
+    folders = known.select(F.to_date("bucket_start").alias("dt"), F.hour("bucket_start").alias("hour"))
+    return raw.join(folders, ["dt", "hour"], "left_semi")
+
+
 def reprocess_late(raw: DataFrame, hourly: DataFrame, run_start, run_end) -> dict[str, DataFrame]:
     """Corrected rows of just the hours, days and weeks touched by late arrivals.
 
@@ -78,8 +88,7 @@ def reprocess_late(raw: DataFrame, hourly: DataFrame, run_start, run_end) -> dic
     """
     hours = saved(late_buckets(raw, run_start, run_end), "late-hours")
     if {"dt", "hour"} <= set(raw.columns):
-        folders = hours.select(F.to_date("bucket_start").alias("dt"), F.hour("bucket_start").alias("hour"))
-        events = raw.join(folders, ["dt", "hour"], "left_semi")
+        events = in_folders_of(raw, hours, run_end)
     else:
         events = assign_bucket(raw, "hour").join(hours, "bucket_start", "left_semi").drop("bucket_start")
     fixed = heatmap_hourly(events)

@@ -66,8 +66,7 @@ def late_job(
     hours = [row[0] for row in touched.select(F.date_format("bucket_start", "yyyy-MM-dd HH:mm:ss")).collect()]
     if not hours:
         return []
-    folders = touched.select(F.to_date("bucket_start").alias("dt"), F.hour("bucket_start").alias("hour"))
-    fixed = rollups.heatmap_hourly(raw.join(folders, ["dt", "hour"], "left_semi"))
+    fixed = rollups.heatmap_hourly(rollups.in_folders_of(raw, touched, run_end))
     tables.replace_buckets(fixed, hourly_path, "hourly", hours)
     _refresh_coarser(spark, hourly_path, daily_path, weekly_path, sorted({_as_day(h) for h in hours}))
     return sorted(hours)

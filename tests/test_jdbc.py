@@ -1,0 +1,62 @@
+"""Option handling of the JDBC source and sink. No database is started for tests."""
+
+import pytest
+
+from gridtally.sources import jdbc
+
+
+class Recorder:
+    """Stands in for Spark's reader and writer and records what it is told."""
+
+    def __init__(self):
+        self.told = {}
+
+    def __getattr__(self, name):
+        if name in ("read", "write"):
+            return self
+
+        def note(*args, **kwargs):
+            if name == "options":
+                self.told.update(kwargs)
+            elif name == "option":
+                self.told[args[0]] = args[1]
+            else:
+                self.told[name] = args[0] if args else True
+            return self
+
+        return note
+
+
+CONNECTION = {"url": "jdbc:example:db", "driver": "example.Driver"}
+
+
+def test_subquery_read_is_pushed_and_split():
+    spark = Recorder()
+    jdbc.jdbc_read_subquery(spark, CONNECTION, "hourly", ["a", "n"], "day = '2024-01-01'", ("n", 0, 100, 4))
+    assert spark.told == {
+        **CONNECTION, "format": "jdbc", "load": True,
+        "dbtable": "(SELECT a, n FROM hourly WHERE day = '2024-01-01') sub",
+        "partitionColumn": "n", "lowerBound": "0", "upperBound": "100", "numPartitions": "4",
+    }
+
+
+def test_day_and_week_reads():
+    spark = Recorder()
+    jdbc.read_day(spark, CONNECTION, "hourly", "2024-01-05")
+    assert "DATE(bucket_start) = '2024-01-05'" in spark.told["dbtable"] and spark.told["numPartitions"] == "16"
+    jdbc.read_week(spark, CONNECTION, "daily", "2024-01-01")
+    assert "BETWEEN '2024-01-01' AND '2024-01-07'" in spark.told["dbtable"]
+    with pytest.raises(ValueError, match="week_start_not_monday"):
+        jdbc.read_week(spark, CONNECTION, "daily", "2024-01-02")
+    with pytest.raises(ValueError, match="invalid_dt"):
+        jdbc.read_day(spark, CONNECTION, "hourly", "2024-01-05' OR 1 = 1")
+    with pytest.raises(ValueError, match="split column"):
+        jdbc.jdbc_read_subquery(spark, CONNECTION, "t", ["a"], split=("b", 0, 1, 2))
+
+
+def test_append():
+    rows = Recorder()
+    jdbc.jdbc_append(rows, CONNECTION, "hourly", 500, 8)
+    assert rows.told == {
+        **CONNECTION, "coalesce": 8, "format": "jdbc", "mode": "append", "dbtable": "hourly", "batchsize": "500", "save": True
+    }
