@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gridtally.session import saved
+
 # Alert levels. ``higher`` = larger is worse, ``lower`` = smaller is worse.
 ALERT_LEVELS = [
     ("consumer_lag", "higher", 10_000.0, 100_000.0),
@@ -64,11 +66,12 @@ def exact_percentiles(
     rows: DataFrame, group: str, value: str, points: tuple[float, ...] = (0.5, 0.95, 0.99),
     accuracy: int = 10_000,
 ) -> DataFrame:
-    """Exact nearest-rank percentiles per group, without sorting a whole group anywhere.
+    """Exact nearest-rank percentiles per group, without sorting or shuffling a whole group.
 
-    A sketch brackets each wanted rank between two values; one more pass counts the rows below each
-    bracket and the copies of each distinct value inside it. Only values inside the brackets, about
-    4 / accuracy of a group, are ranked. The brackets are a handful of rows per group.
+    A sketch (evaluated here and saved, a row per group) brackets each wanted rank between two
+    values. One more pass counts the rows below each bracket, as a map-side sum, and the copies of
+    each distinct value inside it. Only values inside the brackets, about 4 / accuracy of a group,
+    are shuffled and ranked.
     """
     slack = 2.0 / accuracy
     edges = [e for p in points for e in (max(p - slack, 0.0), min(p + slack, 1.0))]
@@ -90,14 +93,13 @@ def exact_percentiles(
             for i, p in enumerate(points)
         ]
     )
-    wanted = sketch.select(F.col(group).alias("_g"), "n", brackets.alias("brackets"))
-    copies = known.groupBy(group, "v").agg(F.count(F.lit(1)).alias("copies"))
-    near = copies.join(wanted, F.col(group).eqNullSafe(F.col("_g"))).select(
-        group, "n", "v", "copies", F.inline("brackets")
+    wanted = saved(sketch.select(F.col(group).alias("_g"), "n", brackets.alias("brackets")), "brackets")
+    near = known.join(wanted, F.col(group).eqNullSafe(F.col("_g"))).select(
+        group, "n", "v", F.inline("brackets")
     ).filter(F.col("v") <= F.col("high"))
-    # Values below a bracket collapse into one row, so only the bracket itself is ranked.
+    # Values below a bracket collapse into one NULL slot that only carries their number.
     slot = F.when(F.col("v") >= F.col("low"), F.col("v"))
-    steps = near.groupBy(group, "n", "p", "wanted", slot.alias("v")).agg(F.sum("copies").alias("copies"))
+    steps = near.groupBy(group, "n", "p", "wanted", slot.alias("v")).agg(F.count(F.lit(1)).alias("copies"))
     order = Window.partitionBy(group, "p").orderBy(F.asc_nulls_first("v")).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )

@@ -27,9 +27,12 @@ def consume_log(
     ]
 
 
-def serve_topk(spark: SparkSession, counters_path: str, as_of, days=None, k=None, user_id: str | None = None) -> DataFrame:
+def serve_topk(
+    spark: SparkSession, counters_path: str, as_of, days=None, k=None, user_id: str | None = None,
+    base: str | None = None, folded: int | None = None,
+) -> DataFrame:
     """Ranked songs from the stored counters, for one user or all. Only days in the window are read."""
-    counters = tables.read_deltas(spark, counters_path, sinks.COUNTER_DELTA)
+    counters = sinks.counter_deltas(spark, counters_path, base, folded)
     if user_id is not None:
         counters = counters.filter(F.col("user_id") == user_id)
     return listens.user_topk(counters.withColumnRenamed("delta", "listen_count"), as_of, days, k)
@@ -44,9 +47,14 @@ def reconcile(spark: SparkSession, history_path: str, counters_path: str, thresh
     return checks.reconcile_counts(stored, recount, keys, threshold)
 
 
-def compact_counters(spark: SparkSession, counters_path: str, target: str) -> None:
-    """Many small delta folders folded into one sorted file set per day, at a new path."""
-    tables.compact(sinks.read_counters(spark, counters_path), target, ["day"], ["user_id", "song_id"])
+def compact_counters(spark: SparkSession, counters_path: str, target: str, upto: int) -> None:
+    """Delta folders up to batch ``upto`` folded into one sorted file set per day, at a new path.
+
+    Readers take ``target`` and ``upto`` as base; the stream goes on writing meanwhile.
+    """
+    deltas = tables.read_deltas(spark, counters_path, sinks.COUNTER_DELTA).filter(F.col("batch") <= upto)
+    folded = listens.sum_deltas(deltas).withColumnRenamed("listen_count", "delta")
+    tables.compact(folded, target, ["day"], ["user_id", "song_id"])
 
 
 def compact_history(spark: SparkSession, history_path: str, target: str) -> None:

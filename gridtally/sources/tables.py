@@ -46,12 +46,12 @@ def replace_buckets(rows: DataFrame, path: str, tier: str, buckets: list) -> Non
     touched.
     """
     spark = rows.sparkSession
-    wanted = F.array(*[F.lit(str(b)).cast("timestamp") for b in buckets])
-    inside = rows.filter(F.array_contains(wanted, F.col("bucket_start")))
+    wanted = [F.lit(str(b)).cast("timestamp") for b in buckets]
+    inside = rows.filter(F.col("bucket_start").isin(wanted))
     staged = saved(inside.select(*KEYS, "count"), "replace")
 
     # One row per replaced bucket at most: the list came from the caller.
-    listed = spark.range(1).select(F.explode(wanted).alias("bucket_start"))
+    listed = spark.range(1).select(F.explode(F.array(*wanted)).alias("bucket_start"))
     filled = staged.select("bucket_start").distinct()
     empty = _with_folders(listed.join(filled, "bucket_start", "left_anti"), tier).collect()
     _sorted_writer(staged, tier).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)

@@ -113,8 +113,18 @@ def increment_counters(events: DataFrame, path: str, checkpoint: str, every: str
     return _each_batch(events, write, checkpoint, every)
 
 
-def read_counters(spark: SparkSession, path: str) -> DataFrame:
-    return sum_deltas(read_deltas(spark, path, COUNTER_DELTA))
+def read_counters(spark: SparkSession, path: str, base: str | None = None, folded: int | None = None) -> DataFrame:
+    """Current counters: the sum of all deltas, or of a compacted ``base`` that holds the batches up
+    to ``folded`` and the deltas after it."""
+    return sum_deltas(counter_deltas(spark, path, base, folded))
+
+
+def counter_deltas(spark: SparkSession, path: str, base: str | None = None, folded: int | None = None) -> DataFrame:
+    deltas = read_deltas(spark, path, COUNTER_DELTA)
+    if base is None:
+        return deltas.drop("batch")
+    old = spark.read.schema(COUNTER_DELTA).parquet(base)
+    return deltas.filter(F.col("batch") > folded).drop("batch").unionByName(old)
 
 
 def stream_hourly_counts(raw: DataFrame, path: str, checkpoint: str, every: str | None = COUNT_EVERY) -> StreamingQuery:

@@ -63,8 +63,12 @@ def test_counters_survive_restarts_and_replayed_batches(spark, path):
     one = served.first().user_id
     only = listen_jobs.serve_topk(spark, path("counters"), views.EVENTS_AS_OF, user_id=one)
     assert _rows(only) == _rows(served.filter(F.col("user_id") == one))
-    listen_jobs.compact_counters(spark, path("counters"), path("compact"))
-    assert _rows(spark.read.parquet(path("compact")), *columns) == _rows(expected, *columns)
+    for upto in (0, last):
+        listen_jobs.compact_counters(spark, path("counters"), path(f"compact{upto}"), upto)
+        both = sinks.read_counters(spark, path("counters"), path(f"compact{upto}"), upto)
+        assert _rows(both, *columns) == _rows(expected, *columns)
+    from_base = listen_jobs.serve_topk(spark, path("counters"), views.EVENTS_AS_OF, base=path("compact0"), folded=0)
+    assert _rows(from_base) == _rows(served)
 
 
 def test_history_upserts(spark, path):

@@ -113,6 +113,19 @@ def _(spark, d):
     return sketches.approx_item_counts(sketches.daily_sketches(days, ["song_id"]), ["song_id"])
 
 
+@query("approx_item_counts_bound", f"""WITH {views.LISTENS}
+SELECT song_id, count(DISTINCT event_id) AS item_count, TRUE AS within_bound FROM replayed GROUP BY song_id""")
+def _(spark, d):
+    """Merged daily sketches against exact counts: off by at most three standard errors."""
+    rows = views.listens_replayed(spark, d)
+    days = grid.listen_day(rows)
+    estimate = sketches.approx_item_counts(sketches.daily_sketches(days, ["song_id"]), ["song_id"])
+    exact = rows.groupBy("song_id").agg(F.count_distinct("event_id").alias("item_count"))
+    off = F.abs(F.col("approx_count") - F.col("item_count")) / F.col("item_count")
+    bound = 3 * 1.04 / 2 ** (sketches.LG_BUCKETS / 2)
+    return exact.join(estimate, "song_id").select("song_id", "item_count", (off <= bound).alias("within_bound"))
+
+
 @query("reconcile_counts", f"""WITH {views.LISTENS}, exact AS (
   SELECT user_id, song_id, count(DISTINCT event_id) AS exact_n FROM replayed GROUP BY ALL), loose AS (
   SELECT user_id, song_id, count(*) AS approx_n FROM replayed WHERE provider <> 'youtube' GROUP BY ALL), both_n AS (
@@ -186,15 +199,19 @@ def _(spark, d):
     return checks.severity_report(metrics)
 
 
-@query("latency_percentiles", """SELECT event_type, count(value) AS n, quantile_disc(value, 0.5) AS p50,
-  quantile_disc(value, 0.95) AS p95, quantile_disc(value, 0.99) AS p99 FROM events GROUP BY event_type""")
+_PERCENTILES = """SELECT event_type, count(value) AS n, quantile_disc(value, 0.5) AS p50,
+  quantile_disc(value, 0.95) AS p95, quantile_disc(value, 0.99) AS p99 FROM events GROUP BY event_type"""
+
+
+@query("latency_percentiles", _PERCENTILES)
 def _(spark, d):
     return checks.exact_percentiles(views.table(spark, d, "events"), "event_type", "value")
 
 
-@query("latency_percentiles_approx")
+@query("latency_percentiles_approx", _PERCENTILES)
 def _(spark, d):
-    return checks.latency_percentiles(views.table(spark, d, "events"), "event_type", "value")
+    """The sketch form; with this accuracy it is exact below a hundred thousand rows per group."""
+    return checks.latency_percentiles(views.table(spark, d, "events"), "event_type", "value", accuracy=100_000)
 
 
 # --- keyed state --------------------------------------------------------------------------------
