@@ -22,6 +22,7 @@ BITS_PER_ID = 16.9
 BLOCK_BITS = 256
 
 WORDS = ["w0", "w1", "w2", "w3"]
+FILTER = "day date, block bigint, w0 bigint, w1 bigint, w2 bigint, w3 bigint, ids bigint"
 
 
 def block_count(capacity: int = DAY_CAPACITY) -> int:

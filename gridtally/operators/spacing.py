@@ -40,11 +40,14 @@ def thin_events(
 
 
 def keep_spaced(
-    df: DataFrame, keys: list[str], time: str, gap_us: int, order: list[str], chunk_us: int | None = None
+    df: DataFrame, keys: list[str], time: str, gap_us: int, order: list[str], chunk_us: int | None = None,
+    after: DataFrame | None = None,
 ) -> DataFrame:
     """Rows at least ``gap_us`` after the last kept row of the same key; the first one is kept.
 
-    ``order`` settles rows of equal time. Rows without a time are never kept.
+    ``order`` settles rows of equal time. Rows without a time are never kept. ``after`` (keys and
+    ``last_kept``, a row per key) carries on from rows kept earlier. A chunk must not be shorter
+    than the gap; the more rows a key has, the shorter its chunks should be.
     """
     chunk_us = max(chunk_us or CHUNK_US, gap_us)
     micros = F.unix_micros(F.col(time).cast("timestamp"))
@@ -68,7 +71,12 @@ def keep_spaced(
 
     times = marked(chunked.select(*group, "_at"), []).select(*group, "_at", "_first")
     steps = times.mapInArrow(_chunk_steps(gap_us, chunk_us), step_schema)
-    enters = steps.groupBy(*keys).applyInPandas(_follow(keys, gap_us, chunk_us), enter_schema)
+    follow = _follow(keys, gap_us, chunk_us)
+    if after is None:
+        enters = steps.groupBy(*keys).applyInPandas(lambda rows: follow(rows, None), enter_schema)
+    else:
+        earlier = after.select(*keys, F.unix_micros("last_kept").alias("_last"))
+        enters = steps.groupBy(*keys).cogroup(earlier.groupBy(*keys)).applyInPandas(follow, enter_schema)
 
     markers = enters.withColumn("_at", F.lit(-1).cast("bigint"))
     entered = chunked.withColumn("_enter", F.lit(None).cast("bigint")).unionByName(markers, allowMissingColumns=True)
@@ -150,15 +158,17 @@ def _chunk_steps(gap_us: int, chunk_us: int):
 
 
 def _follow(keys: list[str], gap_us: int, chunk_us: int):
-    def run(steps):
+    def run(steps, earlier):
         import numpy as np
         import pandas as pd
 
+        if steps.empty:
+            return pd.DataFrame({name: [] for name in [*keys, "_chunk", "_enter"]})
         steps = steps.sort_values(["_chunk", "_start"], kind="stable")
         chunk, start, leave = (steps[c].to_numpy() for c in ("_chunk", "_start", "_leave"))
         bounds = np.append(np.flatnonzero(np.diff(chunk, prepend=chunk[0] - 1)), len(chunk))
         out_chunk, out_enter = [], []
-        last = None
+        last = None if earlier is None or earlier.empty else int(earlier["_last"].max())
         for low, high in zip(bounds[:-1], bounds[1:]):
             base = int(chunk[low]) * chunk_us
             place = low
@@ -187,13 +197,13 @@ def _kept_rows(gap_us: int, chunk_us: int, columns: list[str]):
             enter = table.column("_enter").fill_null(-gap_us).to_numpy()[table.column("_first").to_numpy()]
             at, group, axis, following = lay_out(table, table.column("_at").to_numpy() >= 0)
             heads = np.flatnonzero(np.diff(group, prepend=-1))
-            floor = np.maximum(enter + gap_us, 0)
+            floor = np.clip(enter + gap_us, 0, chunk_us + gap_us)
             begin = np.searchsorted(axis, axis[heads] - at[heads] + floor, side="left")
             ends = np.append(heads[1:], len(at))
-            # A row one gap after its neighbour is kept whatever happened before, so all runs
-            # between such rows are walked side by side.
+            # A row one gap after its neighbour is kept whichever rows before it were, so all
+            # runs between such rows are walked side by side.
             free = np.flatnonzero(np.diff(axis, prepend=axis[0]) >= gap_us)
-            free = free[~np.isin(free, heads)]
+            free = free[(at[free] >= floor[group[free]]) & ~np.isin(free, heads)]
             here = np.union1d(begin[begin < ends], free)
             kept = np.zeros(len(at), dtype=bool)
             while len(here):

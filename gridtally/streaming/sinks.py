@@ -14,9 +14,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from gridtally import schemas
+from gridtally.operators import bloom, spacing
 from gridtally.operators.keyed import fold_status_events, merge_status, schedule_rows
 from gridtally.operators.listens import history_rows, sum_deltas
 from gridtally.operators.rollups import KEYS, heatmap_hourly
+from gridtally.session import saved
 from gridtally.sources.raw_files import RECORDS_PER_FILE, with_landing_hour
 from gridtally.sources.tables import append_delta, current_history, read_deltas
 
@@ -142,6 +144,65 @@ def read_hourly_counts(spark: SparkSession, path: str) -> DataFrame:
     return deltas.groupBy(*KEYS).agg(F.sum("count").cast("bigint").alias("count"))
 
 
+def count_with_bloom(
+    listens: DataFrame, counters: str, filters: str, checkpoint: str,
+    capacity: int = bloom.DAY_CAPACITY, every: str | None = COUNT_EVERY,
+) -> StreamingQuery:
+    """Counters behind the approximate dedup: events that hit the stored filter are skipped.
+
+    Each micro-batch reads the filter its predecessor left, and leaves the next one, of a size fixed
+    by ``capacity`` and the days kept. A micro-batch that runs again reads and writes the same
+    folders. A day beyond its planned capacity stops the stream.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        known = spark.read.schema(bloom.FILTER).parquet(f"{filters}/batch={batch_id - 1}") if batch_id else (
+            spark.createDataFrame([], bloom.FILTER)
+        )
+        fresh = saved(bloom.bloom_skip(batch, known, capacity), "fresh")
+        merged = bloom.merge_filters(known, bloom.build_filter(fresh, capacity))
+        newest = known.select("day").unionByName(fresh.select("day")).agg(F.max("day")).first()[0]
+        recent = merged.filter(F.col("day") > F.date_sub(F.lit(newest), bloom.KEEP_DAYS))
+        bloom.check_load(recent, capacity).write.mode("overwrite").parquet(f"{filters}/batch={batch_id}")
+        counts = fresh.groupBy("user_id", "day", "song_id").agg(F.count(F.lit(1)).alias("delta"))
+        append_delta(counts, counters, batch_id, ["day"])
+
+    return _each_batch(listens, write, checkpoint, every)
+
+
+def thin_events_stream(
+    events: DataFrame, path: str, checkpoint: str, rate: float | None = None,
+    keys: tuple[str, ...] = ("client_id", "screen_id"), time: str = "event_time", order: tuple[str, ...] = (),
+    forget: str = "1 day", every: str | None = COUNT_EVERY,
+) -> StreamingQuery:
+    """Cap the event rate per (client, screen) across micro-batches; read with ``read_thinned``.
+
+    The last kept time per key is handed from batch to batch. Keys idle for longer than ``forget``
+    are dropped from it; events later than that are treated as new.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        state = T.StructType([batch.schema[k] for k in keys] + [T.StructField("last_kept", T.TimestampType())])
+        before = spark.read.schema(state).parquet(f"{path}/last/batch={batch_id - 1}") if batch_id else None
+        kept = spacing.keep_spaced(batch, list(keys), time, spacing.gap_for_rate(rate), list(order), after=before)
+        kept.write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
+        written = spark.read.schema(batch.schema).parquet(f"{path}/rows/batch={batch_id}")
+        seen = written.select(*keys, F.col(time).alias("last_kept"))
+        seen = seen if before is None else seen.unionByName(before)
+        newest = seen.agg(F.unix_micros(F.max("last_kept"))).first()[0]
+        horizon = F.timestamp_micros(F.lit(newest).cast("bigint")) - F.expr(f"INTERVAL {forget}")
+        alive = seen.groupBy(*keys).agg(F.max("last_kept").alias("last_kept")).filter(F.col("last_kept") >= horizon)
+        alive.write.mode("overwrite").parquet(f"{path}/last/batch={batch_id}")
+
+    return _each_batch(events, write, checkpoint, every)
+
+
+def read_thinned(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return read_deltas(spark, f"{path}/rows", schema).drop("batch")
+
+
 def apply_status_stream(events: DataFrame, path: str, checkpoint: str, every: str | None = COUNT_EVERY) -> StreamingQuery:
     """Fold each micro-batch of status events; read the current schedule with ``read_schedule``."""
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridtally import schemas
-from gridtally.operators import keyed, listens, rollups
+from gridtally.operators import keyed, listens, rollups, spacing
 from gridtally.plans import ingest_streams, listen_jobs
 from gridtally.sources import event_log, raw_files, tables
 from gridtally.streaming import sinks, streams
@@ -184,3 +184,39 @@ def test_landing_by_client_and_small_files(spark, path):
     _run(sinks.land_events(source, path("out"), path("cp"), "parquet", None, by_client=True))
     files = spark.read.parquet(path("out")).inputFiles()
     assert len(files) >= 3 and all("client_id=c/dt=2024-01-01/hour=05" in f for f in files)
+
+
+def test_thinning_goes_on_across_micro_batches(spark, path):
+    fast = F.timestamp_micros(F.expr("unix_micros(event_time) div 36000")).alias("event_time")
+    moves = views.raw_events(spark, SF).select("client_id", "screen_id", fast, "event_id")
+    for _ in _arrive(_timed(moves, "event_time"), path("in"), "event_time", parts=5):
+        source = event_log.read_file_stream(spark, path("in"), moves.schema)
+        _run(sinks.thin_events_stream(source, path("out"), path("cp"), rate=2, order=("event_id",), every=None))
+    expected = spacing.thin_events(moves, rate=2, order=("event_id",))
+    assert 0 < expected.count() < moves.count()
+    assert _rows(sinks.read_thinned(spark, path("out"), moves.schema)) == _rows(expected)
+
+
+def test_bloom_counters_across_micro_batches(spark, path):
+    rows = _timed(views.listens_replayed(spark, SF), "listened_at")
+    # every file arrives twice, so the second copy has to be caught by the stored filter
+    for n, _ in enumerate(_arrive(rows, path("in"), "listened_at")):
+        spark.read.schema(schemas.LISTEN_EVENT).parquet(path("in")).write.parquet(path(f"copy{n}"))
+    for n in range(3):
+        spark.read.schema(schemas.LISTEN_EVENT).parquet(path(f"copy{n}")).coalesce(1).write.mode("append").parquet(path("replay"))
+        source = event_log.read_file_stream(spark, path("replay"), schemas.LISTEN_EVENT)
+        _run(sinks.count_with_bloom(source, path("counters"), path("filters"), path("cp"), 10_000, every=None))
+    # the last filter only knows the last days, counters know all
+    days = spark.read.parquet(path("filters") + "/batch=2").select("day").distinct().count()
+    assert days == 8
+    expected = listens.daily_song_counts(views.listens_replayed(spark, SF))
+    stored = sinks.read_counters(spark, path("counters")).select(expected.columns)
+    recent = F.col("day") > F.lit("2024-01-22").cast("date")
+    assert _rows(stored.filter(recent)) == _rows(expected.filter(recent))
+
+
+def test_bloom_counters_stop_when_a_day_is_too_full(spark, path):
+    views.listens(spark, SF).coalesce(1).write.parquet(path("in"))
+    source = event_log.read_file_stream(spark, path("in"), schemas.LISTEN_EVENT)
+    with pytest.raises(Exception, match="over capacity"):
+        _run(sinks.count_with_bloom(source, path("counters"), path("filters"), path("cp"), 10, every=None))

@@ -298,7 +298,10 @@ def _spaced_sql(step: str, time: str = "event_time") -> str:
 SELECT client_id, screen_id, pos.t AS event_time, pos.id AS event_id FROM walk"""
 
 
-@query("thin_events", _spaced_sql("1 SECOND", "CAST(make_timestamp(epoch_us(event_time) // 3600) AS TIMESTAMP)"))
+_FAST = "CAST(make_timestamp(epoch_us(event_time) // 3600) AS TIMESTAMP)"
+
+
+@query("thin_events", _spaced_sql("1 SECOND", _FAST))
 def _(spark, d):
     """At most one event per second and screen, with the month played 3600 times as fast, so that
     events come as close together as pointer moves do."""

@@ -16,7 +16,7 @@ from gridtally.session import work_path
 from gridtally.sources import event_log, raw_files
 from gridtally.streaming import sinks, streams
 from workload import views
-from workload.queries_heatmap import TIER, _LANDED
+from workload.queries_heatmap import _FAST, TIER, _LANDED, _spaced_sql
 from workload.queries_listens import _SCHEDULE_COLUMNS
 from workload.registry import query
 
@@ -126,3 +126,23 @@ def _(spark, d):
     changes = views.status_from(_stream(spark, f"{d}/orders.parquet"))
     _finish(sinks.apply_status_stream(changes, path, work_path(spark, "cp"), every=None))
     return sinks.read_schedule(spark, path)
+
+
+@query("thin_events_stream", _spaced_sql("1 SECOND", _FAST))
+def _(spark, d):
+    """The month played 3600 times as fast, at most one event per second and screen."""
+    path = work_path(spark, "thinned")
+    raw = views.raw_from(_events(spark, d))
+    fast = F.timestamp_micros(F.expr("unix_micros(event_time) div 3600")).alias("event_time")
+    moves = raw.select("client_id", "screen_id", fast, "event_id")
+    _finish(sinks.thin_events_stream(moves, path, work_path(spark, "cp"), rate=1, order=("event_id",), every=None))
+    return sinks.read_thinned(spark, path, moves.schema)
+
+
+@query("bloom_counters", f"WITH {views.DAILY_COUNTS} SELECT user_id, day, song_id, listen_count FROM daily_counts")
+def _(spark, d):
+    """Counters behind the Bloom filter, which at its planned size makes no mistake on this data."""
+    counters = work_path(spark, "counters")
+    rows = views.with_replays(views.listens_from(_events(spark, d)))
+    _finish(sinks.count_with_bloom(rows, counters, work_path(spark, "bloom"), work_path(spark, "cp"), every=None))
+    return sinks.read_counters(spark, counters)
