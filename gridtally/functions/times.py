@@ -8,12 +8,21 @@ RFC3339_SHAPE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}([.,]\d+)?(Z|[+-]([01]\d|2
 UTC_TEXT_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
+def _local_time(text: Column) -> Column:
+    return F.substring(text, 1, 19).try_cast("timestamp")
+
+
+def is_rfc3339(text: Column) -> Column:
+    """Whether ``parse_rfc3339`` gives a time; cheaper, as it takes nothing apart."""
+    return F.coalesce(text.rlike(RFC3339_SHAPE) & _local_time(text).isNotNull(), F.lit(False))
+
+
 def parse_rfc3339(text: Column) -> Column:
     """Strict RFC 3339 text to a timestamp, NULL when the shape or the date is wrong.
 
     A plain cast would also take a bare date or a time without a zone.
     """
-    local = F.substring(text, 1, 19).try_cast("timestamp")
+    local = _local_time(text)
     digits = F.rpad(F.regexp_extract(text, r"[.,](\d+)", 1), 6, "0").try_cast("bigint")
     sign = F.when(F.regexp_extract(text, r"([+-])\d{2}:\d{2}\z", 1) == "-", -1).otherwise(1)
     part = lambda i: F.coalesce(

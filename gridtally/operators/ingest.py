@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridtally.functions import is_blank, parse_rfc3339, strip_blanks, utc_text, whole_number
+from gridtally.functions import is_blank, is_rfc3339, strip_blanks, utc_text, whole_number
 
 # Batch size limit and the shape of a safe id.
 MAX_BATCH_EVENTS = 5000
@@ -20,7 +20,7 @@ def _event_fault(event: Column) -> Column:
     return (
         F.when(is_blank(event["event_type"]), "missing_event_type")
         .when(outside, "invalid_normalized_coords")
-        .when(parse_rfc3339(event["event_time"]).isNull(), "invalid_event_time")
+        .when(~is_rfc3339(event["event_time"]), "invalid_event_time")
     )
 
 
@@ -69,15 +69,16 @@ def explode_batches(batches: DataFrame) -> DataFrame:
 
 
 def decode_log(records: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """(decoded rows, undecodable records). Bad records are set aside, never fatal."""
+    """(decoded rows, undecodable records). Bad records are set aside, never fatal.
+
+    The parsed row is taken out with ``inline``, so a record is parsed once, not once per use.
+    """
     marked = T.StructType(schema.fields + [T.StructField("_bad", T.StringType())])
-    parsed = records.withColumn(
-        "row",
-        F.from_json("value", marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}),
-    )
-    broken = F.col("row").isNull() | F.col("row._bad").isNotNull()
-    good = parsed.filter(~broken).select(*[F.col(f"row.{f.name}").alias(f.name) for f in schema.fields])
-    return good, parsed.filter(broken).drop("row")
+    row = F.from_json("value", marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    parsed = records.select(*[F.col(c).alias(f"_{c}") for c in records.columns], F.inline(F.array(row)))
+    broken = F.col("_value").isNull() | F.col("_bad").isNotNull()
+    good = parsed.filter(~broken).select(*schema.fieldNames())
+    return good, parsed.filter(broken).select(*[F.col(f"_{c}").alias(c) for c in records.columns])
 
 
 def coerce_cells(rows: DataFrame) -> DataFrame:

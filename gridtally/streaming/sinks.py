@@ -25,6 +25,9 @@ from gridtally.sources.tables import append_delta, current_history, read_deltas
 # Flush intervals.
 LAND_EVERY, COUNT_EVERY = "60 seconds", "30 seconds"
 
+# Counted rows of a micro-batch are few; more writers would only make more and smaller files.
+WRITERS = 32
+
 HISTORY_DELTA = T.StructType(
     [
         T.StructField("user_id", T.StringType()),
@@ -110,7 +113,7 @@ def increment_counters(events: DataFrame, path: str, checkpoint: str, every: str
 
     def write(batch: DataFrame, batch_id: int) -> None:
         counts = batch.groupBy("user_id", "day", "song_id").agg(F.count(F.lit(1)).alias("delta"))
-        append_delta(counts, path, batch_id, ["day"])
+        append_delta(counts.coalesce(WRITERS), path, batch_id, ["day"])
 
     return _each_batch(events, write, checkpoint, every)
 
@@ -134,7 +137,7 @@ def stream_hourly_counts(raw: DataFrame, path: str, checkpoint: str, every: str
 
     def write(batch: DataFrame, batch_id: int) -> None:
         counts = heatmap_hourly(batch).withColumn("dt", F.to_date("bucket_start"))
-        append_delta(counts, path, batch_id, ["dt"])
+        append_delta(counts.coalesce(WRITERS), path, batch_id, ["dt"])
 
     return _each_batch(raw, write, checkpoint, every)
 
@@ -166,7 +169,7 @@ def count_with_bloom(
         recent = merged.filter(F.col("day") > F.date_sub(F.lit(newest), bloom.KEEP_DAYS))
         bloom.check_load(recent, capacity).write.mode("overwrite").parquet(f"{filters}/batch={batch_id}")
         counts = fresh.groupBy("user_id", "day", "song_id").agg(F.count(F.lit(1)).alias("delta"))
-        append_delta(counts, counters, batch_id, ["day"])
+        append_delta(counts.coalesce(WRITERS), counters, batch_id, ["day"])
 
     return _each_batch(listens, write, checkpoint, every)
 

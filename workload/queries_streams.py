@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from gridtally import schemas
 from gridtally.functions import utc_text
 from gridtally.operators import ingest, rollups
+from gridtally.plans import ingest_streams
 from gridtally.session import work_path
 from gridtally.sources import event_log, raw_files
 from gridtally.streaming import sinks, streams
@@ -46,6 +47,22 @@ def _(spark, d):
     return raw_files.read_raw_parquet(spark, base)
 
 
+@query("admit_batches", f"""WITH {views.BATCH_EVENTS} SELECT client_id, screen_id, batch_id,
+  {views.TEXT_TIME.format('event_time')} AS event_time, x_norm, y_norm, event_type,
+  CAST(event_time AS DATE) AS dt, CAST(hour(event_time) AS INTEGER) AS hour FROM sent WHERE (event_id // 100) % 13 <> 0""")
+def _(spark, d):
+    """Batches sent twice: validated, deduplicated, exploded and landed."""
+    arrived, base = work_path(spark, "batches"), raw_files.raw_base(work_path(spark, "admitted"), "parquet")
+    sent = views.replayed(views.batches(spark, d))
+    sent.write.parquet(arrived)
+    for running in ingest_streams.admit_batches(
+        lambda: event_log.read_file_stream(spark, arrived, sent.schema), base, work_path(spark, "quarantine"),
+        work_path(spark, "cp"), "parquet", every=None,
+    ):
+        _finish(running)
+    return raw_files.read_raw_parquet(spark, base).drop("received_at")
+
+
 @query("land_events_json", _LANDED)
 def _(spark, d):
     base = raw_files.raw_base(work_path(spark, "landed-stream"))
