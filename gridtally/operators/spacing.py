@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 # Bounds and default of the event rate, in events per second.
 MIN_RATE, MAX_RATE, DEFAULT_RATE = 1, 240, 60
-CHUNK_US = 10 * 60 * 1_000_000
+CHUNK_US = 60 * 1_000_000
 
 
 def gap_for_rate(rate: float | None) -> int:

@@ -220,3 +220,22 @@ def test_bloom_counters_stop_when_a_day_is_too_full(spark, path):
     source = event_log.read_file_stream(spark, path("in"), schemas.LISTEN_EVENT)
     with pytest.raises(Exception, match="over capacity"):
         _run(sinks.count_with_bloom(source, path("counters"), path("filters"), path("cp"), 10, every=None))
+
+
+def test_crash_after_the_write_does_not_count_twice(spark, path, monkeypatch):
+    """The first attempt dies after its delta is on disk and before the batch is committed."""
+    views.listens(spark, SF).coalesce(1).write.parquet(path("in"))
+    source = lambda: streams.dedup_events_stream(event_log.read_file_stream(spark, path("in"), schemas.LISTEN_EVENT))
+
+    def dies(*args):
+        tables.append_delta(*args)
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(sinks, "append_delta", dies)
+    with pytest.raises(Exception, match="executor lost"):
+        _run(sinks.increment_counters(source(), path("counters"), path("cp"), every=None))
+    monkeypatch.undo()
+    _run(sinks.increment_counters(source(), path("counters"), path("cp"), every=None))
+    expected = listens.daily_song_counts(views.listens(spark, SF))
+    columns = ("user_id", "day", "song_id", "listen_count")
+    assert _rows(sinks.read_counters(spark, path("counters")), *columns) == _rows(expected, *columns)
