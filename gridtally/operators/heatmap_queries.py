@@ -65,10 +65,10 @@ def recent_buckets(tier: DataFrame, tier_name: str, limit=None) -> DataFrame:
 
 def recent_buckets_of(tier: DataFrame, tier_name: str, client_id: str, screen_id: str, limit=None) -> DataFrame:
     """The single-screen form: newest first."""
-    rows = tier.filter(
-        (F.col("client_id") == params.safe_id(client_id, "client_id"))
-        & (F.col("screen_id") == params.safe_id(screen_id, "screen_id"))
+    wanted = (F.col("client_id") == params.safe_id(client_id, "ids")) & (
+        F.col("screen_id") == params.safe_id(screen_id, "ids")
     )
+    rows = tier.filter(wanted)
     totals = rows.groupBy("bucket_start").agg(F.sum("count").cast("bigint").alias("events"))
     return totals.orderBy(F.desc("bucket_start")).limit(params.bucket_limit(limit, tier_name))
 

@@ -62,7 +62,9 @@ def top_k(value: str | int | None = None) -> int:
 
 
 def _bounded(value, default: int, most: int, message: str) -> int:
-    number = _integer(value)
+    # Unlike the other parameters these two are not trimmed: a blank around the digits is no number.
+    text = str(value if value is not None else "")
+    number = _integer(text) if text == text.strip() else None
     number = default if number is None else number
     if not 1 <= number <= most:
         raise ValueError(message)
@@ -71,4 +73,5 @@ def _bounded(value, default: int, most: int, message: str) -> int:
 
 def _integer(value) -> int | None:
     text = str(value if value is not None else "").strip()
-    return int(text) if re.fullmatch(r"[+-]?[0-9]+", text) else None
+    number = int(text) if re.fullmatch(r"[+-]?[0-9]+", text) else None
+    return number if number is not None and -(2**63) <= number < 2**63 else None

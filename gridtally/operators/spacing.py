@@ -53,8 +53,8 @@ def keep_spaced(
     micros = F.unix_micros(F.col(time).cast("timestamp"))
     chunked = (
         df.filter(F.col(time).isNotNull())
-        .withColumn("_chunk", F.floor(micros / F.lit(chunk_us)).cast("bigint"))
-        .withColumn("_at", micros - F.col("_chunk") * chunk_us)
+        .withColumn("_at", F.pmod(micros, F.lit(chunk_us).cast("bigint")))
+        .withColumn("_chunk", ((micros - F.col("_at")) / chunk_us).cast("bigint"))
     )
     group = [*keys, "_chunk"]
 
@@ -90,13 +90,13 @@ def _whole_groups():
     import pyarrow as pa
 
     def tables(batches, rows: int = 500_000):
-        held, size = [], 0
+        held, size, enough = [], 0, rows
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             held.append(batch)
             size += batch.num_rows
-            if size < rows:
+            if size < enough:
                 continue
             table = pa.Table.from_batches(held)
             starts = np.flatnonzero(table.column("_first").to_numpy())
@@ -105,6 +105,7 @@ def _whole_groups():
                 yield table.slice(0, cut).combine_chunks()
                 table = table.slice(cut)
             held, size = table.to_batches(), table.num_rows
+            enough = max(rows, 2 * size)  # a long group is looked through again only once doubled
         if held:
             yield pa.Table.from_batches(held).combine_chunks()
 

@@ -67,9 +67,9 @@ def _trigger(every: str | None) -> dict:
 
 def land_events(
     raw: DataFrame, base: str, checkpoint: str, file_format: str = "json", every: str | None = LAND_EVERY,
-    by_client: bool = False,
+    by_client: bool = False, records_per_file: int = RECORDS_PER_FILE,
 ) -> StreamingQuery:
-    """Stream of raw events → immutable files by event hour (UTC), at most 5000 records each.
+    """Stream of raw events → immutable files by event hour (UTC) of limited length.
 
     No shuffle: every task writes the hours it holds, which for live traffic is one or two.
     """
@@ -78,7 +78,7 @@ def land_events(
     return (
         writer.option("path", base)
         .option("checkpointLocation", checkpoint)
-        .option("maxRecordsPerFile", RECORDS_PER_FILE)
+        .option("maxRecordsPerFile", records_per_file)
         .option("compression", "snappy" if file_format == "parquet" else "none")
         .trigger(**_trigger(every))
         .start()

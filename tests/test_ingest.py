@@ -133,6 +133,7 @@ def test_valid_ids(spark):
 def test_request_parameters():
     assert [params.bucket_limit(v, "hourly") for v in (None, 0, 501, -1, "abc", "1", 500, " 7 ")] == [24, 24, 24, 24, 24, 1, 500, 7]
     assert params.bucket_limit(None, "daily") == 30 and params.bucket_limit("x", "weekly") == 12
+    assert params.window_days(" 5") == 7 and params.top_k("9" * 30) == 10 and params.bucket_limit("9" * 30, "daily") == 30
     assert params.window_days("abc") == 7 and params.window_days(30) == 30 and params.top_k("") == 10
     for call, message in [
         (lambda: params.window_days(0), "days must be 1-30"),

@@ -116,6 +116,8 @@ def test_queries_on_one_screen(spark, path):
     assert len(plan.inputFiles()) >= 1
     with pytest.raises(ValueError, match="invalid_client_id"):
         heatmap_queries.query_heatmap_hourly(rows, "a b", "home", "2024-01-01", 10)
+    with pytest.raises(ValueError, match="invalid_ids"):
+        heatmap_queries.recent_buckets_of(rows, "hourly", "acme", "a/b")
     weekly = rollups.heatmap_weekly(rows)
     assert heatmap_queries.query_heatmap_weekly(weekly, "acme", "home", "2024-01-02").isEmpty()
     assert not heatmap_queries.query_heatmap_weekly(weekly, "acme", "home", "2024-01-01").isEmpty()

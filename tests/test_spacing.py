@@ -104,3 +104,22 @@ def test_going_on_from_earlier_rows(spark, gap_us, chunk_us):
     second = spacing.keep_spaced(frame.filter(F.col("event_time") >= cut), *args, after=after)
     assert {r.id for r in first.collect()} | {r.id for r in second.collect()} == _greedy(rows, gap_us)
     assert spacing.keep_spaced(frame.filter(F.col("event_time") < cut), *args, after=after).isEmpty()
+
+
+def test_a_group_longer_than_a_block(spark):
+    frame = spark.range(1_200_000).selectExpr(
+        "if(id < 1100000, 'a', 'b') AS client_id", "'s' AS screen_id",
+        "timestamp_micros(1704067200000000 + id * 10) AS event_time", "id",
+    ).repartition(8)
+    out = spacing.keep_spaced(frame, ["client_id", "screen_id"], "event_time", 25, ["id"], 60_000_000)
+    kept = out.selectExpr("count(*)", "sum(id)", "min(id)", "max(id)").first()
+    expected = list(range(0, 1_100_000, 3)) + list(range(1_100_000, 1_200_000, 3))
+    assert tuple(kept) == (len(expected), sum(expected), 0, expected[-1])
+
+
+def test_times_before_1970(spark):
+    rows = [("a", us, i) for i, us in enumerate(range(-50, 50, 7))]
+    data = [(k, "s", datetime(1970, 1, 1) + timedelta(microseconds=us), i) for k, us, i in rows]
+    frame = spark.createDataFrame(data, "client_id string, screen_id string, event_time timestamp, id long")
+    out = spacing.keep_spaced(frame, ["client_id", "screen_id"], "event_time", 10, ["id"], 16)
+    assert {r.id for r in out.collect()} == _greedy(rows, 10)

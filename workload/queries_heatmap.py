@@ -100,6 +100,8 @@ _TIER_BUILDERS = {
     "weekly": lambda raw: rollups.heatmap_weekly(rollups.heatmap_daily(rollups.heatmap_hourly(raw))),
 }
 _TIER_SQL = {"hourly": views.HOURLY, "daily": views.DAILY, "weekly": views.WEEKLY}
+_TIER_UNIT = {"hourly": "hour", "daily": "day", "weekly": "week"}
+_TIER_LIMIT = {"hourly": 24, "daily": 30, "weekly": 12}
 
 
 def _read_queries(tier: str) -> None:
@@ -109,17 +111,14 @@ def _read_queries(tier: str) -> None:
     @query(f"query_heatmap_{tier}", cells)
     def _(spark, d):
         """Cells of every (client, screen, bucket), from a tier that was loaded in two inserts."""
-        rows = _twice_loaded(views.raw_events(spark, d), _TIER_BUILDERS[tier])
-        requests = grid.assign_bucket(
-            grid.filter_event_type(views.raw_events(spark, d)), {"hourly": "hour", "daily": "day", "weekly": "week"}[tier]
-        )
-        return heatmap_queries.cells_for(rows, requests)
+        raw = views.raw_events(spark, d)
+        requests = grid.assign_bucket(grid.filter_event_type(raw), _TIER_UNIT[tier])
+        return heatmap_queries.cells_for(_twice_loaded(raw, _TIER_BUILDERS[tier]), requests)
 
     newest = f"""WITH {_TIER_SQL[tier]} SELECT client_id, screen_id, bucket_start, events FROM (
       SELECT *, row_number() OVER (PARTITION BY client_id, screen_id ORDER BY bucket_start DESC) AS n FROM (
         SELECT client_id, screen_id, bucket_start, CAST(sum(count) AS BIGINT) AS events FROM {tier} GROUP BY ALL))
-      WHERE n <= {{"hourly": 24, "daily": 30, "weekly": 12}}[tier]"""
-    newest = newest.replace('{"hourly": 24, "daily": 30, "weekly": 12}[tier]', str({"hourly": 24, "daily": 30, "weekly": 12}[tier]))
+      WHERE n <= {_TIER_LIMIT[tier]}"""
 
     @query(f"recent_buckets_{tier}", newest)
     def _(spark, d):
