@@ -73,15 +73,23 @@ def recent_buckets_of(tier: DataFrame, tier_name: str, client_id: str, screen_id
     return totals.orderBy(F.desc("bucket_start")).limit(params.bucket_limit(limit, tier_name))
 
 
-def heatmap_payload(cells: DataFrame, grid_w: int = GRID_W, grid_h: int = GRID_H) -> DataFrame:
-    """One nested row per (client, screen, bucket); empty cells are absent.
+def heatmap_payload(
+    cells: DataFrame, grid_w: int = GRID_W, grid_h: int = GRID_H, requests: DataFrame | None = None
+) -> DataFrame:
+    """One nested row per (client, screen, bucket); empty cells and cells without a place are absent.
 
-    The list is bounded by the grid because ``cells`` has one row per cell.
+    With ``requests`` there is one row for each of them, with an empty list where nothing was
+    counted. The list is bounded by the grid because ``cells`` has one row per cell.
     """
-    listed = F.array_sort(F.collect_list(F.struct("cell_x", "cell_y", "count"))).alias("cells")
-    return cells.groupBy(*REQUEST).agg(listed).select(
-        F.lit(grid_w).alias("grid_w"), F.lit(grid_h).alias("grid_h"), *REQUEST, "cells"
-    )
+    placed = F.col("cell_x").isNotNull() & F.col("cell_y").isNotNull()
+    # collect_list leaves out NULLs
+    entry = F.when(placed, F.struct("cell_x", "cell_y", "count"))
+    rows = cells.groupBy(*REQUEST).agg(F.array_sort(F.collect_list(entry)).alias("cells"))
+    if requests is not None:
+        asked = requests.select(*REQUEST).distinct().join(rows, REQUEST, "left")
+        nothing = F.array().cast("array<struct<cell_x:int,cell_y:int,count:bigint>>")
+        rows = asked.withColumn("cells", F.coalesce("cells", nothing))
+    return rows.select(F.lit(grid_w).alias("grid_w"), F.lit(grid_h).alias("grid_h"), *REQUEST, "cells")
 
 
 def as_json(payload: DataFrame, *order: str) -> DataFrame:

@@ -125,6 +125,21 @@ def test_queries_on_one_screen(spark, path):
     assert heatmap_queries.query_heatmap_daily(daily, "acme", "home", "2024-01-02").first()["count"] == 1
 
 
+def test_payload_of_requests(spark):
+    ten = "2024-01-01 10:00:00"
+    cells = _tier(spark, [(ten, 3, 1), (ten, 1, 2), (ten, None, 9)])
+    asked = _tier(spark, [(ten, 0, 0), ("2024-01-01 11:00:00", 0, 0)])
+    rows = {r.bucket_start.hour: r for r in heatmap_queries.heatmap_payload(cells, requests=asked).collect()}
+    assert [tuple(c) for c in rows[10].cells] == [(1, 0, 2), (3, 0, 1)] and rows[11].cells == []
+    assert (rows[10].grid_w, rows[10].grid_h) == (100, 200)
+    only = heatmap_queries.heatmap_payload(_tier(spark, [(ten, None, 9)]))
+    body = heatmap_queries.as_json(only).first().body
+    assert body == (
+        '{"grid_w":100,"grid_h":200,"client_id":"acme","screen_id":"home",'
+        '"bucket_start":"2024-01-01 10:00:00","cells":[]}'
+    )
+
+
 def _physical(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
