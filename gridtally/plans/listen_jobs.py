@@ -32,7 +32,7 @@ def serve_topk(
     base: str | None = None, folded: int | None = None,
 ) -> DataFrame:
     """Ranked songs from the stored counters, for one user or all. Only days in the window are read."""
-    counters = sinks.counter_deltas(spark, counters_path, base, folded)
+    counters = tables.read_deltas(spark, counters_path, sinks.COUNTER_DELTA, base, folded)
     if user_id is not None:
         counters = counters.filter(F.col("user_id") == user_id)
     return listens.user_topk(counters.withColumnRenamed("delta", "listen_count"), as_of, days, k)
@@ -46,18 +46,3 @@ def reconcile(spark: SparkSession, history_path: str, counters_path: str, thresh
     stored = sinks.read_counters(spark, counters_path).withColumnRenamed("listen_count", "n")
     return checks.reconcile_counts(stored, recount, keys, threshold)
 
-
-def compact_counters(spark: SparkSession, counters_path: str, target: str, upto: int) -> None:
-    """Delta folders up to batch ``upto`` folded into one sorted file set per day, at a new path.
-
-    Readers take ``target`` and ``upto`` as base; the stream goes on writing meanwhile.
-    """
-    deltas = tables.read_deltas(spark, counters_path, sinks.COUNTER_DELTA).filter(F.col("batch") <= upto)
-    folded = listens.sum_deltas(deltas).withColumnRenamed("listen_count", "delta")
-    tables.compact(folded, target, ["day"], ["user_id", "song_id"])
-
-
-def compact_history(spark: SparkSession, history_path: str, target: str) -> None:
-    """History folded to one row per key, each day's files sorted by user, newest first inside."""
-    rows = sinks.read_history(spark, history_path).withColumn("newest", -F.unix_micros("listened_at"))
-    tables.compact(rows, target, ["day"], ["user_id", "newest", "event_id"])

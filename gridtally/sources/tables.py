@@ -66,10 +66,20 @@ def append_delta(rows: DataFrame, path: str, batch_id: int, by: list[str]) -> No
     rows.write.mode("overwrite").partitionBy(*by).parquet(f"{path}/batch={batch_id}")
 
 
-def read_deltas(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All micro-batches' rows, with the ``batch`` folder column."""
+def read_deltas(
+    spark: SparkSession, path: str, schema: T.StructType, base: str | None = None, folded: int | None = None
+) -> DataFrame:
+    """All micro-batches' rows, with the ``batch`` folder column.
+
+    With a compacted ``base`` that holds the batches up to ``folded``, only later folders are read
+    next to it.
+    """
     full = T.StructType(schema.fields + [T.StructField("batch", T.LongType())])
-    return spark.read.schema(full).option("basePath", path).parquet(path)
+    deltas = spark.read.schema(full).option("basePath", path).parquet(path)
+    if base is None:
+        return deltas
+    old = spark.read.schema(schema).parquet(base).withColumn("batch", F.lit(folded).cast("bigint"))
+    return deltas.filter(F.col("batch") > folded).unionByName(old)
 
 
 def current_history(deltas: DataFrame) -> DataFrame:
@@ -81,4 +91,5 @@ def current_history(deltas: DataFrame) -> DataFrame:
 
 def compact(rows: DataFrame, path: str, by: list[str], order: list[str]) -> None:
     """Write folded rows as few sorted files per folder, into a new table path."""
-    rows.hint("rebalance", *by).sortWithinPartitions(*by, *order).write.partitionBy(*by).parquet(path)
+    placed = rows.hint("rebalance", *by) if by else rows.hint("rebalance")
+    placed.sortWithinPartitions(*by, *order).write.partitionBy(*by).parquet(path)

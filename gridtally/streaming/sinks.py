@@ -20,7 +20,7 @@ from gridtally.operators.listens import history_rows, sum_deltas
 from gridtally.operators.rollups import KEYS, heatmap_hourly
 from gridtally.session import saved
 from gridtally.sources.raw_files import RECORDS_PER_FILE, with_landing_hour
-from gridtally.sources.tables import append_delta, current_history, read_deltas
+from gridtally.sources.tables import append_delta, compact, current_history, read_deltas
 
 # Flush intervals.
 LAND_EVERY, COUNT_EVERY = "60 seconds", "30 seconds"
@@ -103,8 +103,8 @@ def upsert_history(listens: DataFrame, path: str, checkpoint: str, every: str |
     return _each_batch(listens, write, checkpoint, every)
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    rows = current_history(read_deltas(spark, path, HISTORY_DELTA))
+def read_history(spark: SparkSession, path: str, base: str | None = None, folded: int | None = None) -> DataFrame:
+    rows = current_history(read_deltas(spark, path, HISTORY_DELTA, base, folded))
     return rows.select("user_id", "day", "listened_at", "event_id", "song_id", "provider")
 
 
@@ -119,17 +119,7 @@ def increment_counters(events: DataFrame, path: str, checkpoint: str, every: str
 
 
 def read_counters(spark: SparkSession, path: str, base: str | None = None, folded: int | None = None) -> DataFrame:
-    """Current counters: the sum of all deltas, or of a compacted ``base`` that holds the batches up
-    to ``folded`` and the deltas after it."""
-    return sum_deltas(counter_deltas(spark, path, base, folded))
-
-
-def counter_deltas(spark: SparkSession, path: str, base: str | None = None, folded: int | None = None) -> DataFrame:
-    deltas = read_deltas(spark, path, COUNTER_DELTA)
-    if base is None:
-        return deltas.drop("batch")
-    old = spark.read.schema(COUNTER_DELTA).parquet(base)
-    return deltas.filter(F.col("batch") > folded).drop("batch").unionByName(old)
+    return sum_deltas(read_deltas(spark, path, COUNTER_DELTA, base, folded))
 
 
 def stream_hourly_counts(raw: DataFrame, path: str, checkpoint: str, every: str | None = COUNT_EVERY) -> StreamingQuery:
@@ -142,8 +132,8 @@ def stream_hourly_counts(raw: DataFrame, path: str, checkpoint: str, every: str
     return _each_batch(raw, write, checkpoint, every)
 
 
-def read_hourly_counts(spark: SparkSession, path: str) -> DataFrame:
-    deltas = read_deltas(spark, path, HOURLY_DELTA)
+def read_hourly_counts(spark: SparkSession, path: str, base: str | None = None, folded: int | None = None) -> DataFrame:
+    deltas = read_deltas(spark, path, HOURLY_DELTA, base, folded)
     return deltas.groupBy(*KEYS).agg(F.sum("count").cast("bigint").alias("count"))
 
 
@@ -215,5 +205,32 @@ def apply_status_stream(events: DataFrame, path: str, checkpoint: str, every: st
     return _each_batch(events, write, checkpoint, every)
 
 
-def read_schedule(spark: SparkSession, path: str) -> DataFrame:
-    return schedule_rows(merge_status(read_deltas(spark, path, STATUS_DELTA)))
+def read_schedule(spark: SparkSession, path: str, base: str | None = None, folded: int | None = None) -> DataFrame:
+    return schedule_rows(merge_status(read_deltas(spark, path, STATUS_DELTA, base, folded)))
+
+
+# Compaction: delta folders up to batch ``upto`` folded into a table at a new path. Readers then take
+# that path as ``base`` and ``upto`` as ``folded``; the stream goes on writing meanwhile.
+
+def _upto(spark: SparkSession, path: str, schema: T.StructType, upto: int) -> DataFrame:
+    return read_deltas(spark, path, schema).filter(F.col("batch") <= upto)
+
+
+def compact_counters(spark: SparkSession, path: str, target: str, upto: int) -> None:
+    totals = sum_deltas(_upto(spark, path, COUNTER_DELTA, upto)).withColumnRenamed("listen_count", "delta")
+    compact(totals, target, ["day"], ["user_id", "song_id"])
+
+
+def compact_history(spark: SparkSession, path: str, target: str, upto: int) -> None:
+    """Each day's files are sorted by user, newest first inside."""
+    rows = current_history(_upto(spark, path, HISTORY_DELTA, upto))
+    compact(rows.withColumn("age", -F.unix_micros("listened_at")), target, ["day"], ["user_id", "age", "event_id"])
+
+
+def compact_hourly_counts(spark: SparkSession, path: str, target: str, upto: int) -> None:
+    totals = _upto(spark, path, HOURLY_DELTA, upto).groupBy("dt", *KEYS).agg(F.sum("count").cast("bigint").alias("count"))
+    compact(totals, target, ["dt"], KEYS)
+
+
+def compact_status(spark: SparkSession, path: str, target: str, upto: int) -> None:
+    compact(merge_status(_upto(spark, path, STATUS_DELTA, upto)), target, [], ["user_id", "provider"])

@@ -64,7 +64,7 @@ def test_counters_survive_restarts_and_replayed_batches(spark, path):
     only = listen_jobs.serve_topk(spark, path("counters"), views.EVENTS_AS_OF, user_id=one)
     assert _rows(only) == _rows(served.filter(F.col("user_id") == one))
     for upto in (0, last):
-        listen_jobs.compact_counters(spark, path("counters"), path(f"compact{upto}"), upto)
+        sinks.compact_counters(spark, path("counters"), path(f"compact{upto}"), upto)
         both = sinks.read_counters(spark, path("counters"), path(f"compact{upto}"), upto)
         assert _rows(both, *columns) == _rows(expected, *columns)
     from_base = listen_jobs.serve_topk(spark, path("counters"), views.EVENTS_AS_OF, base=path("compact0"), folded=0)
@@ -85,8 +85,10 @@ def test_history_upserts(spark, path):
         ("u", "e1", base): "new song", ("u", "e2", base + timedelta(seconds=1)): "s2",
         ("u", "e1", base + timedelta(seconds=9)): "s3", ("v", "e1", base): "s1",
     }
-    listen_jobs.compact_history(spark, path("history"), path("compact"))
-    assert spark.read.parquet(path("compact")).count() == 4
+    for upto in (0, 1):
+        sinks.compact_history(spark, path("history"), path(f"compact{upto}"), upto)
+        from_base = sinks.read_history(spark, path("history"), path(f"compact{upto}"), upto)
+        assert {(r.user_id, r.event_id, r.listened_at): r.song_id for r in from_base.collect()} == out
 
 
 def test_log_consumers_and_reconciliation(spark, path):
@@ -112,7 +114,10 @@ def test_hourly_counts_over_several_files(spark, path):
         source = event_log.read_file_stream(spark, path("in"), schema)
         _run(sinks.stream_hourly_counts(source, path("deltas"), path("cp"), every=None))
     columns = (*rollups.KEYS, "count")
-    assert _rows(sinks.read_hourly_counts(spark, path("deltas")), *columns) == _rows(rollups.heatmap_hourly(raw), *columns)
+    expected = _rows(rollups.heatmap_hourly(raw), *columns)
+    assert _rows(sinks.read_hourly_counts(spark, path("deltas")), *columns) == expected
+    sinks.compact_hourly_counts(spark, path("deltas"), path("compact"), 1)
+    assert _rows(sinks.read_hourly_counts(spark, path("deltas"), path("compact"), 1), *columns) == expected
 
 
 def test_windowed_counts_are_final_and_right(spark, path):
@@ -134,6 +139,8 @@ def test_status_stream(spark, path):
         _run(sinks.apply_status_stream(source, path("status"), path("cp"), every=None))
     expected = keyed.apply_status_events(views.status_events(spark, SF))
     assert _rows(sinks.read_schedule(spark, path("status"))) == _rows(expected)
+    sinks.compact_status(spark, path("status"), path("compact"), 1)
+    assert _rows(sinks.read_schedule(spark, path("status"), path("compact"), 1)) == _rows(expected)
 
 
 def test_batch_dedup_stream_over_restarts(spark, path):
