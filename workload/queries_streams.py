@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gridtally import schemas
 from gridtally.functions import utc_text
-from gridtally.operators import ingest, rollups
+from gridtally.operators import ingest
 from gridtally.plans import ingest_streams
 from gridtally.session import work_path
 from gridtally.sources import event_log, raw_files
@@ -22,9 +22,9 @@ from workload.queries_listens import _SCHEDULE_COLUMNS
 from workload.registry import query
 
 
-def _stream(spark, path: str) -> DataFrame:
-    """A table as a stream. The pattern lets the table be one file or a folder of files."""
-    return event_log.read_file_stream(spark, f"{path}*", spark.read.parquet(path).schema)
+def _stream(spark, path: str, schema) -> DataFrame:
+    """Files as a stream. The pattern lets a table be one file or a folder of files."""
+    return event_log.read_file_stream(spark, f"{path}*", schema)
 
 
 def _finish(running: StreamingQuery) -> None:
@@ -32,7 +32,7 @@ def _finish(running: StreamingQuery) -> None:
 
 
 def _events(spark, d):
-    return views.timed_events(_stream(spark, f"{d}/events.parquet"))
+    return views.timed_events(_stream(spark, f"{d}/events.parquet", views.SCHEMAS["events"]))
 
 
 def _raw_text(rows):
@@ -104,9 +104,10 @@ def _(spark, d):
 def _(spark, d):
     arrived, out = work_path(spark, "batches"), work_path(spark, "unique-batches")
     slim = views.batches(spark, d).withColumn("n", F.size("events").cast("bigint")).drop("events")
-    views.replayed(slim).write.parquet(arrived)
+    sent = views.replayed(slim)
+    sent.write.parquet(arrived)
     # Copies differ in arrival only, and which of one micro-batch is kept is not defined.
-    unique = streams.dedup_batches_stream(_stream(spark, arrived))
+    unique = streams.dedup_batches_stream(_stream(spark, arrived, sent.schema))
     writer = unique.writeStream.format("parquet").option("path", out).option("checkpointLocation", work_path(spark, "cp"))
     _finish(writer.trigger(availableNow=True).start())
     return spark.read.schema("client_id string, screen_id string, batch_id string, n bigint").parquet(out)
@@ -140,7 +141,7 @@ def _(spark, d):
 @query("apply_status_stream", f"WITH {views.STATUS} SELECT {_SCHEDULE_COLUMNS} FROM schedule")
 def _(spark, d):
     path = work_path(spark, "status")
-    changes = views.status_from(_stream(spark, f"{d}/orders.parquet"))
+    changes = views.status_from(_stream(spark, f"{d}/orders.parquet", views.SCHEMAS["orders"]))
     _finish(sinks.apply_status_stream(changes, path, work_path(spark, "cp"), every=None))
     return sinks.read_schedule(spark, path)
 
