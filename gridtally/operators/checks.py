@@ -103,10 +103,12 @@ def exact_percentiles(
     order = Window.partitionBy(group, "p").orderBy(F.asc_nulls_first("v")).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    reached = steps.withColumn("upto", F.sum("copies").over(order)).filter(
-        (F.col("upto") >= F.col("wanted")) & F.col("v").isNotNull()
-    )
-    found = [F.min(F.when(F.col("p") == p, F.col("v"))).alias(_label(p)) for p in points]
+    # Twice the sketch's promised error lies inside a bracket; a rank outside it is an error here,
+    # not a wrong answer.
+    missed = F.raise_error(F.lit("percentile outside its bracket")).cast("double")
+    reached = steps.withColumn("upto", F.sum("copies").over(order)).filter(F.col("upto") >= F.col("wanted"))
+    reached = reached.withColumn("v", F.coalesce("v", missed))
+    found = [F.coalesce(F.min(F.when(F.col("p") == p, F.col("v"))), missed).alias(_label(p)) for p in points]
     return reached.groupBy(group).agg(F.max("n").alias("n"), *found)
 
 
