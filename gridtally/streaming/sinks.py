@@ -67,14 +67,20 @@ def _trigger(every: str | None) -> dict:
 
 def land_events(
     raw: DataFrame, base: str, checkpoint: str, file_format: str = "json", every: str | None = LAND_EVERY,
-    by_client: bool = False, records_per_file: int = RECORDS_PER_FILE,
+    by_client: bool = False, records_per_file: int = RECORDS_PER_FILE, hour_writers: int | None = None,
 ) -> StreamingQuery:
     """Stream of raw events → immutable files by event hour (UTC) of limited length.
 
-    No shuffle: every task writes the hours it holds, which for live traffic is one or two.
+    Straight from a source no shuffle is needed: every task writes the hours it holds, which for
+    live traffic is one or two. After a shuffle every task holds a bit of every hour; then
+    ``hour_writers`` gathers each hour in that many tasks, by hash, so that files do not multiply.
     """
     folders = (["client_id"] if by_client else []) + ["dt", "hour"]
-    writer = with_landing_hour(raw).writeStream.format(file_format).partitionBy(*folders)
+    placed = with_landing_hour(raw)
+    if hour_writers:
+        share = F.pmod(F.xxhash64("client_id", "screen_id", "event_time"), F.lit(hour_writers))
+        placed = placed.withColumn("_share", share).repartition("dt", "hour", "_share").drop("_share")
+    writer = placed.writeStream.format(file_format).partitionBy(*folders)
     return (
         writer.option("path", base)
         .option("checkpointLocation", checkpoint)

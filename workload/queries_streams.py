@@ -57,7 +57,7 @@ def _(spark, d):
     sent.write.parquet(arrived)
     for running in ingest_streams.admit_batches(
         lambda: event_log.read_file_stream(spark, arrived, sent.schema), base, work_path(spark, "quarantine"),
-        work_path(spark, "cp"), "parquet", every=None,
+        work_path(spark, "cp"), "parquet", every=None, hour_writers=1,
     ):
         _finish(running)
     return raw_files.read_raw_parquet(spark, base).drop("received_at")
