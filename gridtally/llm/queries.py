@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridtally.llm import oracles, quality_rules
+from gridtally.llm import language_id, oracles, quality_rules, sharding, simhash, token_counts
 from workload.registry import query
 
+#: Folder of the public vocabulary files; the driver reads them and sends them on.
+TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+
 DOCUMENTS = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -36,3 +41,28 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         F.array_join("broken_rules", ",").alias("broken_rules"),
     )
+
+
+@query("op10_sharding")
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in one of eight shards of nearly equal bytes."""
+    return sharding.shard(documents(spark, sf_dir), shards=8)
+
+
+@query("op6_token_counts")
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word-piece length of every document under the 32,000-piece vocabulary."""
+    pieces = token_counts.sentencepiece_vocabulary(f"{TOKENIZERS}/piece_bpe_32k.model")
+    return token_counts.count_tokens(documents(spark, sf_dir), pieces)
+
+
+@query("op8_language_id")
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from four fifths of them."""
+    return language_id.identify_held_out(documents(spark, sf_dir))
+
+
+@query("op1_simhash")
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(documents(spark, sf_dir))
