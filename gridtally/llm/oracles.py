@@ -41,3 +41,14 @@ judged AS (SELECT *, NOT base_failed AND broken_rules = '' AS kept FROM flagged)
 
 QUALITY_RULES = f"""WITH {quality_cte()}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, broken_rules FROM judged"""
+
+DECONTAMINATION = """WITH iw AS (SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM benchmark),
+ig AS (SELECT DISTINCT item_id, least(5, len(w)) AS k, list_slice(w, i, i + least(5, len(w)) - 1) AS g
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM iw WHERE len(w) > 0)),
+dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
+dg AS (SELECT DISTINCT doc_id, list_slice(w, i, i + k - 1) AS g
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM dw, (SELECT DISTINCT k FROM ig) WHERE len(w) >= k)),
+n AS (SELECT item_id, count(*) AS n_shingles FROM ig GROUP BY item_id),
+s AS (SELECT doc_id, item_id, count(*) AS n_shared FROM dg JOIN ig USING (g) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment FROM s JOIN n USING (item_id)
+WHERE 5 * n_shared >= 4 * n_shingles"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridtally.llm import language_id, oracles, packing, quality_rules, sharding, simhash, token_counts
+from gridtally.llm import decontamination, language_id, oracles, packing, quality_rules, sharding, simhash, token_counts
 from workload.registry import query
 
 #: Folder of the public vocabulary files; the driver reads them and sends them on.
@@ -73,3 +73,9 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces in sequences of at most 1024 tokens."""
     with open(f"{TOKENIZERS}/byte_bpe_50k.json", encoding="utf-8") as file:
         return packing.pack(documents(spark, sf_dir), file.read(), capacity=1024)
+
+
+@query("op9_decontamination", oracles.DECONTAMINATION)
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that a document contains."""
+    return decontamination.find(documents(spark, sf_dir), benchmark(spark, sf_dir))
