@@ -52,3 +52,27 @@ n AS (SELECT item_id, count(*) AS n_shingles FROM ig GROUP BY item_id),
 s AS (SELECT doc_id, item_id, count(*) AS n_shared FROM dg JOIN ig USING (g) GROUP BY doc_id, item_id)
 SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment FROM s JOIN n USING (item_id)
 WHERE 5 * n_shared >= 4 * n_shingles"""
+
+_BLANK = f"length(translate(x, {_WHITE}, '')) = 0"
+#: Non-blank lines, shortest runs of 50 words that start or end at a line, their first copy, the rest deleted.
+LINE_DEDUP = f"""WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS al FROM documents),
+l AS (SELECT doc_id, al, list_filter(al, lambda x: NOT ({_BLANK})) AS ls FROM d),
+c AS (SELECT *, list_transform(ls, lambda x: len(list_filter(string_split_regex(x, '[\\x20\\x09-\\x0D]+'), lambda w: w <> ''))) AS ws FROM l),
+q AS (SELECT doc_id, ls, ws, unnest(range(1, len(ls) + 1)) AS i FROM c WHERE len(ls) > 0),
+t AS (SELECT doc_id, i, ls[i] AS line, sum(ws[i]) OVER (PARTITION BY doc_id ORDER BY i) AS upto, ws[i] AS w FROM q),
+r AS (SELECT a.doc_id, a.i AS f, min(b.i) AS e FROM t a JOIN t b ON a.doc_id = b.doc_id AND b.i >= a.i
+    AND b.upto - a.upto + a.w >= 50 GROUP BY a.doc_id, a.i
+  UNION SELECT b.doc_id, max(a.i), b.i FROM t a JOIN t b ON a.doc_id = b.doc_id AND b.i >= a.i
+    AND b.upto - a.upto + a.w >= 50 GROUP BY b.doc_id, b.i),
+n AS (SELECT r.doc_id, f, e, list_slice(ls, f, e) AS run FROM r JOIN l USING (doc_id)),
+m AS (SELECT *, first_value(doc_id) OVER w AS fd, first_value(f) OVER w AS ff FROM n
+  WINDOW w AS (PARTITION BY run ORDER BY doc_id, f)),
+x AS (SELECT DISTINCT doc_id, unnest(range(f, e + 1)) AS i FROM m WHERE doc_id <> fd OR f > ff + (e - f)),
+g AS (SELECT doc_id, list(i) AS gone FROM x GROUP BY doc_id),
+p AS (SELECT doc_id, al, coalesce(gone, []) AS gone, list_transform(range(1, len(al) + 1), lambda k:
+  len(list_filter(list_slice(al, 1, k), lambda x: NOT ({_BLANK})))) AS place FROM l LEFT JOIN g USING (doc_id) WHERE al IS NOT NULL),
+k AS (SELECT doc_id, al, gone, list_filter(range(1, len(al) + 1), lambda k: NOT list_contains(gone, place[k])) AS kept FROM p)
+SELECT d.doc_id, coalesce(len(k.al), 0)::BIGINT AS n_lines, coalesce(len(k.al) - len(kept), 0)::BIGINT AS n_removed,
+  coalesce(len(list_filter(gone, lambda i: NOT list_contains(gone, i - 1))), 0)::BIGINT AS n_runs,
+  sha256(coalesce(array_to_string(list_transform(kept, lambda i: k.al[i]), chr(10)), '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)"""

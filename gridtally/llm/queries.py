@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridtally.llm import decontamination, language_id, oracles, packing, quality_rules, sharding, simhash, token_counts
+from gridtally.llm import decontamination, language_id, line_dedup, oracles, packing, quality_rules, sharding, simhash, token_counts
 from workload.registry import query
 
 #: Folder of the public vocabulary files; the driver reads them and sends them on.
@@ -34,6 +34,11 @@ def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(BENCHMARK).parquet(f"{sf_dir}/benchmark.parquet")
 
 
+def byte_vocabulary() -> str:
+    with open(f"{TOKENIZERS}/byte_bpe_50k.json", encoding="utf-8") as file:
+        return file.read()
+
+
 @query("op2_quality_rules", oracles.QUALITY_RULES)
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
@@ -71,11 +76,16 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_packing")
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces in sequences of at most 1024 tokens."""
-    with open(f"{TOKENIZERS}/byte_bpe_50k.json", encoding="utf-8") as file:
-        return packing.pack(documents(spark, sf_dir), file.read(), capacity=1024)
+    return packing.pack(documents(spark, sf_dir), byte_vocabulary(), capacity=1024)
 
 
 @query("op9_decontamination", oracles.DECONTAMINATION)
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item that a document contains."""
     return decontamination.find(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
+@query("op4_line_dedup", oracles.LINE_DEDUP)
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without later copies of line runs of 50 words."""
+    return line_dedup.summary(documents(spark, sf_dir))
