@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridtally.llm import decontamination, language_id, line_dedup, oracles, packing, quality_rules, sharding, simhash, token_counts
+from gridtally.llm import decontamination, language_id, line_dedup, oracles, packing, quality_rules, sharding, simhash, suffix_dedup, token_counts
 from workload.registry import query
 
 #: Folder of the public vocabulary files; the driver reads them and sends them on.
@@ -89,3 +89,9 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without later copies of line runs of 50 words."""
     return line_dedup.summary(documents(spark, sf_dir))
+
+
+@query("op3_suffix_dedup")
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 50-byte strings of smaller documents."""
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir), with_bytes=False)
