@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridtally.llm import decontamination, language_id, line_dedup, oracles, packing, quality_rules, sharding, simhash, suffix_dedup, token_counts
+from gridtally.llm import decontamination, language_id, line_dedup, oracles, packing, quality_rules, sharding, simhash, suffix_dedup, surrogates, token_counts
 from workload.registry import query
 
 #: Folder of the public vocabulary files; the driver reads them and sends them on.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
+#: Key of the surrogates; set it to a secret where the result leaves the house.
+SURROGATE_KEY = os.environ.get("SURROGATE_KEY", "registered-query")
+
 DOCUMENTS = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -95,3 +98,9 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the 50-byte strings of smaller documents."""
     return suffix_dedup.remove_repeats(documents(spark, sf_dir), with_bytes=False)
+
+
+@query("op7_surrogates")
+def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced by surrogates."""
+    return surrogates.summary(documents(spark, sf_dir), key=SURROGATE_KEY)
