@@ -7,7 +7,7 @@ could be equal meet in one bucket. There they are sorted deep-shallow: multikey
 eight bytes, orders them to a shallow depth, and blind tries order the groups that still agree. Windows that
 agree to full depth are neighbours, and all but those of the smallest document are marked.
 
-Texts travel as chunks of a few megabytes, each a table row. Within a chunk, equal stretches of windows are
+Texts travel as chunks of about a megabyte, each a table row. Within a chunk, equal stretches of windows are
 sent once, by their first document: later ones are copies of it already. So a passage that a third of all
 documents share comes to its bucket once per chunk.
 """
@@ -28,11 +28,11 @@ from gridtally.llm.store import stored
 LENGTH = 50
 GRAM = 24
 #: Bytes of text in a chunk; a longer document is a chunk of its own.
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 #: Bytes of text for each bucket that windows are dealt to.
-BUCKET = 16 << 20
+BUCKET = 6 << 20
 #: Window starts handled in one numpy pass; below 2^24, as places share a word with the gram's hash.
-PASS = 1 << 22
+PASS = 1 << 18
 #: Bytes sorted by multikey quicksort before blind tries take over.
 SHALLOW = 16
 #: Stands for a missing id, which is larger than all others.
