@@ -88,7 +88,10 @@ class Stretches:
                 continue
             own = anchor[whole]
             new = np.flatnonzero(np.r_[True, (own[1:] != own[:-1]) | (whole[1:] != whole[:-1] + 1)])
-            parts.append((window[whole[new]], np.diff(np.r_[new, len(whole)]), doc[whole[new]], grams[own[new]]))
+            # Anchors have small hashes by choice; mixed again, they spread evenly over the buckets.
+            spread = grams[own[new]] * np.uint64(_MIX)
+            spread ^= spread >> np.uint64(32)
+            parts.append((window[whole[new]], np.diff(np.r_[new, len(whole)]), doc[whole[new]], spread * np.uint64(_MIX)))
         none = np.zeros(0, np.int64)
         self.start, self.windows, self.doc, self.gram = (
             (np.concatenate(p) for p in zip(*parts)) if parts else (none, none, none, np.zeros(0, np.uint64))
