@@ -14,11 +14,14 @@ REQUEST = ["client_id", "screen_id", "bucket_start"]
 def cells_for(tier: DataFrame, requests: DataFrame) -> DataFrame:
     """Cells of many requests at once; several rows of one cell are added up.
 
-    The tier is summed first, which leaves one row per cell, so the join side is bounded per
-    request by the grid.
+    Only rows of the requests are summed. A stored tier is joined on its folder columns too, so that
+    folders nobody asked for are not read.
     """
-    summed = tier.groupBy(*REQUEST, "cell_x", "cell_y").agg(F.sum("count").cast("bigint").alias("count"))
-    return summed.join(requests.select(*REQUEST).distinct(), REQUEST, "left_semi")
+    made = {"dt": F.to_date("bucket_start"), "hour": F.hour("bucket_start")}
+    folders = [name for name in made if name in tier.columns]
+    wanted = requests.select(*REQUEST).distinct().withColumns({name: made[name] for name in folders})
+    asked = tier.join(wanted, [*REQUEST, *folders], "left_semi")
+    return asked.groupBy(*REQUEST, "cell_x", "cell_y").agg(F.sum("count").cast("bigint").alias("count"))
 
 
 def _one(tier: DataFrame, client_id: str, screen_id: str, bucket: str) -> DataFrame:

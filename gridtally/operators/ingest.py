@@ -71,12 +71,15 @@ def explode_batches(batches: DataFrame) -> DataFrame:
 def decode_log(records: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """(decoded rows, undecodable records). Bad records are set aside, never fatal.
 
-    The parsed row is taken out with ``inline``, so a record is parsed once, not once per use.
+    A record that holds no object (blank, ``null``, an array, a bare value) is bad too; ``{}`` is an
+    object with nothing set, hence good. The parsed row is taken out with ``inline``, so a record is parsed
+    once, not once per use.
     """
     marked = T.StructType(schema.fields + [T.StructField("_bad", T.StringType())])
     row = F.from_json("value", marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
     parsed = records.select(*[F.col(c).alias(f"_{c}") for c in records.columns], F.inline(F.array(row)))
-    broken = F.col("_value").isNull() | F.col("_bad").isNotNull()
+    holds_object = F.coalesce(F.col("_value").rlike(r"^\s*\{"), F.lit(False))
+    broken = ~holds_object | F.col("_bad").isNotNull()
     good = parsed.filter(~broken).select(*schema.fieldNames())
     return good, parsed.filter(broken).select(*[F.col(f"_{c}").alias(c) for c in records.columns])
 

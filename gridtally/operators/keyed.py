@@ -10,6 +10,7 @@ DUE_LIMIT, STUCK_LIMIT = 100, 50
 NEXT_CRAWL_HOURS = 24
 REFRESH_MARGIN_SECONDS = 60
 JOB_KEY = ["user_id", "provider"]
+RELEASED = "RELEASED"
 
 
 def latest_row_per_key(rows: DataFrame, keys: list[str], newest: list[str]) -> DataFrame:
@@ -27,12 +28,13 @@ def fold_status_events(events: DataFrame) -> DataFrame:
 
     ENQUEUED only moves the status. RUNNING clears the error. IDLE without an error is a finished
     crawl: it clears the error and plans the next one a day later. IDLE with an error keeps the
-    plan and records the error. Each field carries the (ts, seq) that set it, so folded rows of
+    plan and records the error. RELEASED takes back a claim that could not be queued: the job is
+    IDLE again, with the plan and the error it had. Each field carries the (ts, seq) that set it, so folded rows of
     several micro-batches can be folded again with ``merge_status``.
     """
     at = F.struct("ts", "seq")
     finished = (F.col("status") == "IDLE") & F.col("error").isNull()
-    sets_error = F.col("status") != "ENQUEUED"
+    sets_error = ~F.col("status").isin("ENQUEUED", RELEASED)
     return events.groupBy(*JOB_KEY).agg(
         F.max(F.struct("ts", "seq", "status")).alias("status_set"),
         F.max(F.when(sets_error, F.struct("ts", "seq", "error"))).alias("error_set"),
@@ -57,7 +59,7 @@ def schedule_rows(folded: DataFrame) -> DataFrame:
     return folded.select(
         *JOB_KEY,
         F.coalesce(next_day, F.col("created_at")).alias("next_crawl_at"),
-        F.col("status_set.status").alias("status"),
+        F.when(F.col("status_set.status") == RELEASED, "IDLE").otherwise(F.col("status_set.status")).alias("status"),
         F.col("status_set.ts").alias("updated_at"),
         "created_at",
         F.col("error_set.error").alias("last_error"),
@@ -82,17 +84,24 @@ def stuck_work(schedule: DataFrame, as_of, minutes: int, limit: int = STUCK_LIMI
     return stuck.orderBy("updated_at", *JOB_KEY).limit(limit)
 
 
-def claim_rows(schedule: DataFrame, chosen: DataFrame, status: str = "ENQUEUED", touch_at=None) -> DataFrame:
-    """The chosen jobs with their new status.
+def claim_rows(schedule: DataFrame, chosen: DataFrame, at, status: str = "ENQUEUED") -> DataFrame:
+    """The chosen jobs with their new status, updated at the time of the claim.
 
-    Re-claiming stuck jobs also touches updated_at; a first claim does not. The limit in ``chosen``
-    tells the planner its size, which is what it needs to broadcast a claim.
+    The limit in ``chosen`` tells the planner its size, which is what it needs to broadcast a claim.
     """
     claimed = schedule.join(chosen.select(*JOB_KEY), JOB_KEY, "left_semi")
-    claimed = claimed.withColumn("status", F.lit(status))
-    if touch_at is not None:
-        claimed = claimed.withColumn("updated_at", F.lit(str(touch_at)).cast("timestamp"))
-    return claimed
+    return claimed.withColumns({"status": F.lit(status), "updated_at": F.lit(str(at)).cast("timestamp")})
+
+
+def claim_events(claimed: DataFrame, seq: int) -> DataFrame:
+    """The claim as status events; once they are folded, ``due_work`` no longer offers the jobs.
+
+    ``seq`` orders this claim among events of the same time.
+    """
+    return claimed.select(
+        *JOB_KEY, "status", F.lit(None).cast("string").alias("error"),
+        F.col("updated_at").alias("ts"), F.lit(seq).cast("bigint").alias("seq"),
+    )
 
 
 def user_links(links: DataFrame, user_id: str | None = None) -> DataFrame:

@@ -163,8 +163,8 @@ def _follow(keys: list[str], gap_us: int, chunk_us: int):
         import numpy as np
         import pandas as pd
 
-        if steps.empty:
-            return pd.DataFrame({name: [] for name in [*keys, "_chunk", "_enter"]})
+        if steps.empty:  # a remembered key without rows of its own; columns keep their types
+            return steps[keys].assign(_chunk=pd.Series(dtype="int64"), _enter=pd.Series(dtype="int64"))
         steps = steps.sort_values(["_chunk", "_start"], kind="stable")
         chunk, start, leave = (steps[c].to_numpy() for c in ("_chunk", "_start", "_leave"))
         bounds = np.append(np.flatnonzero(np.diff(chunk, prepend=chunk[0] - 1)), len(chunk))

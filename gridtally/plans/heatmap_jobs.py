@@ -13,10 +13,15 @@ from gridtally.sources import jdbc, raw_files, tables
 
 
 def hourly_job(spark: SparkSession, raw_base: str, hourly_path: str, dt, hour, file_format: str = "json") -> None:
-    """One hour folder of raw events into the hourly table."""
+    """One hour folder of raw events into the hourly table.
+
+    The folder says which hour its rows count for, so a row whose own time does not parse counts too.
+    """
     day, hh = params.day(dt), params.hour(hour)
+    bucket = f"{day} {hh:02d}:00:00"
     raw = raw_files.read_bucket_partition(spark, raw_base, day, hh, file_format)
-    tables.replace_buckets(rollups.heatmap_hourly(raw), hourly_path, "hourly", [f"{day} {hh:02d}:00:00"])
+    raw = raw.withColumn("event_time", F.lit(bucket).cast("timestamp"))
+    tables.replace_buckets(rollups.heatmap_hourly(raw), hourly_path, "hourly", [bucket])
 
 
 def daily_job(spark: SparkSession, hourly_path: str, daily_path: str, dt) -> None:

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from datetime import timedelta
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridtally import schemas
 from gridtally.functions import as_instant
 from gridtally.operators import params
+from gridtally.sources import files
 
 # Default folders under the bucket and the size of one landed file.
 TOPIC = "heatmap.events.raw"
 JSON_FOLDER, PARQUET_FOLDER = "topics", "topics-parquet"
 RECORDS_PER_FILE = 5000
+MANY_DAYS = 1000
 
 
 def raw_base(bucket: str, file_format: str = "json", folder: str = JSON_FOLDER, topic: str = TOPIC) -> str:
@@ -23,20 +27,31 @@ def raw_base(bucket: str, file_format: str = "json", folder: str = JSON_FOLDER,
     return f"{bucket.rstrip('/')}/{folder}/{topic}"
 
 
-def _in_hours(dt, hour) -> Column | None:
-    wanted = None
-    if dt is not None:
-        wanted = F.col("dt") == F.lit(params.day(dt))
-    if hour is not None:
-        at = F.col("hour") == params.hour(hour)
-        wanted = at if wanted is None else wanted & at
-    return wanted
+def _load(spark: SparkSession, base: str, file_format: str, folders: list[str] | None = None) -> DataFrame:
+    """Landed rows of the named folders only, or of all.
+
+    Only these folders are listed, however many others there are. Where a streaming sink has written, its
+    log names the finished files; it is read instead of any folder, so unfinished ones stay unseen.
+    """
+    reader = spark.read.schema(schemas.LANDED_EVENT).format(file_format)
+    if folders is None or files.existing(spark, [f"{base}/_spark_metadata"]):
+        return reader.load(base)
+    there = files.existing(spark, [f"{base}/{folder}" for folder in folders])
+    if not there:
+        return spark.createDataFrame([], schemas.LANDED_EVENT)
+    return reader.option("basePath", base).load(there)
 
 
 def _read(spark: SparkSession, base: str, file_format: str, dt, hour) -> DataFrame:
-    rows = spark.read.schema(schemas.LANDED_EVENT).format(file_format).load(base)
-    wanted = _in_hours(dt, hour)
-    return rows if wanted is None else rows.filter(wanted)
+    if dt is None:
+        rows = _load(spark, base, file_format)
+        return rows if hour is None else rows.filter(F.col("hour") == params.hour(hour))
+    day = params.day(dt)
+    if hour is None:
+        return _load(spark, base, file_format, [f"dt={day}"]).filter(F.col("dt") == F.lit(day))
+    at = params.hour(hour)
+    rows = _load(spark, base, file_format, [f"dt={day}/hour={at:02d}"])
+    return rows.filter((F.col("dt") == F.lit(day)) & (F.col("hour") == at))
 
 
 def read_raw_json(spark: SparkSession, base: str, dt=None, hour=None) -> DataFrame:
@@ -56,7 +71,10 @@ def read_bucket_partition(spark: SparkSession, base: str, dt, hour, file_format:
 def read_bucket_range(spark: SparkSession, base: str, first, last, file_format: str = "json") -> DataFrame:
     """All hour folders from day ``first`` to day ``last``, both included."""
     low, high = params.day(first), params.day(last)
-    rows = spark.read.schema(schemas.LANDED_EVENT).format(file_format).load(base)
+    span = (high - low).days + 1
+    # Beyond some years, finding out which days exist costs more than listing them all.
+    days = [f"dt={low + timedelta(days=n)}" for n in range(span)] if span <= MANY_DAYS else None
+    rows = _load(spark, base, file_format, days)
     return rows.filter(F.col("dt").between(F.lit(low), F.lit(high)))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from gridtally import schemas
 from gridtally.operators.rollups import KEYS
 from gridtally.session import saved
+from gridtally.sources import files
 
 # Folder columns of each tier, derived from bucket_start: hourly tables by day and hour.
 TIER_FOLDERS = {"hourly": ["dt", "hour"], "daily": ["dt"], "weekly": ["dt"]}
@@ -41,24 +42,19 @@ def replace_buckets(rows: DataFrame, path: str, tier: str, buckets: list) -> Non
 
     ``rows`` is computed and written to the shared folder first: a failure while computing leaves
     the table as it was, and rows may be computed from the table itself. Buckets that got rows are
-    then swapped in one dynamic partition overwrite; buckets that are now empty, which such an
-    overwrite would leave alone, are overwritten one by one with no rows. Other buckets are not
-    touched.
+    then swapped in one dynamic partition overwrite; the folders of buckets that are now empty,
+    which such an overwrite would leave alone, are removed through the file system. The number of Spark
+    jobs does not depend on the number of buckets. Other buckets are not touched.
     """
     spark = rows.sparkSession
-    wanted = [F.lit(str(b)).cast("timestamp") for b in buckets]
-    inside = rows.filter(F.col("bucket_start").isin(wanted))
-    staged = saved(inside.select(*KEYS, "count"), "replace")
-
-    # One row per replaced bucket at most: the list came from the caller.
-    listed = spark.range(1).select(F.explode(F.array(*wanted)).alias("bucket_start"))
+    # A row per replaced bucket: the list came from the caller.
+    wanted = spark.createDataFrame([(str(b),) for b in buckets], "bucket string")
+    wanted = wanted.select(F.col("bucket").cast("timestamp").alias("bucket_start")).distinct()
+    staged = saved(rows.join(wanted, "bucket_start", "left_semi").select(*KEYS, "count"), "replace")
     filled = staged.select("bucket_start").distinct()
-    empty = _with_folders(listed.join(filled, "bucket_start", "left_anti"), tier).collect()
+    empty = _with_folders(wanted.join(filled, "bucket_start", "left_anti"), tier).collect()
     _sorted_writer(staged, tier).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-    nothing = staged.limit(0)
-    for bucket in empty:
-        folder = "/".join(f"{name}={bucket[name]}" for name in TIER_FOLDERS[tier])
-        nothing.write.mode("overwrite").parquet(f"{path}/{folder}")
+    files.remove_folders(spark, path, ["/".join(f"{n}={b[n]}" for n in TIER_FOLDERS[tier]) for b in empty])
 
 
 def append_delta(rows: DataFrame, path: str, batch_id: int, by: list[str]) -> None:
@@ -85,8 +81,8 @@ def read_deltas(
 def current_history(deltas: DataFrame) -> DataFrame:
     """History with insert-as-overwrite: the last written row of each key."""
     keys = ["user_id", "day", "listened_at", "event_id"]
-    order = Window.partitionBy(*keys).orderBy(F.desc("batch"), "song_id", "provider")
-    return deltas.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n", "batch")
+    order = Window.partitionBy(*keys).orderBy(F.desc("batch"), F.desc("position"), "song_id", "provider")
+    return deltas.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n", "batch", "position")
 
 
 def compact(rows: DataFrame, path: str, by: list[str], order: list[str]) -> None:

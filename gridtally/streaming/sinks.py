@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gridtally import schemas
 from gridtally.operators import bloom, spacing
+from gridtally.operators.grid import listen_day
 from gridtally.operators.keyed import fold_status_events, merge_status, schedule_rows
 from gridtally.operators.listens import history_rows, sum_deltas
 from gridtally.operators.rollups import KEYS, heatmap_hourly
@@ -25,9 +26,6 @@ from gridtally.sources.tables import append_delta, compact, current_history, rea
 # Flush intervals.
 LAND_EVERY, COUNT_EVERY = "60 seconds", "30 seconds"
 
-# Counted rows of a micro-batch are few; more writers would only make more and smaller files.
-WRITERS = 32
-
 HISTORY_DELTA = T.StructType(
     [
         T.StructField("user_id", T.StringType()),
@@ -35,6 +33,7 @@ HISTORY_DELTA = T.StructType(
         T.StructField("event_id", T.StringType()),
         T.StructField("song_id", T.StringType()),
         T.StructField("provider", T.StringType()),
+        T.StructField("position", T.LongType()),
         T.StructField("day", T.DateType()),
     ]
 )
@@ -57,6 +56,7 @@ STATUS_DELTA = T.StructType(
         T.StructField("created_at", T.TimestampType()),
     ]
 )
+_TOUCHED = "day date, at timestamp"
 HOURLY_DELTA = T.StructType(schemas.TIER_ROW.fields + [T.StructField("dt", T.DateType())])
 
 
@@ -101,10 +101,15 @@ def _each_batch(stream: DataFrame, write: Callable, checkpoint: str, every: str
 
 
 def upsert_history(listens: DataFrame, path: str, checkpoint: str, every: str | None = COUNT_EVERY) -> StreamingQuery:
-    """Listen events into the history table; read it with ``read_history``."""
+    """Listen events into the history table; read it with ``read_history``.
+
+    Rows carry their position in the micro-batch, so of two versions of a key the later written wins. A
+    log keeps a key in one partition, where positions rise in the order of the log.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_delta(history_rows(batch), path, batch_id, ["day"])
+        rows = history_rows(batch).withColumn("position", F.monotonically_increasing_id())
+        append_delta(rows, path, batch_id, ["day"])
 
     return _each_batch(listens, write, checkpoint, every)
 
@@ -119,7 +124,7 @@ def increment_counters(events: DataFrame, path: str, checkpoint: str, every: str
 
     def write(batch: DataFrame, batch_id: int) -> None:
         counts = batch.groupBy("user_id", "day", "song_id").agg(F.count(F.lit(1)).alias("delta"))
-        append_delta(counts.coalesce(WRITERS), path, batch_id, ["day"])
+        append_delta(counts.hint("rebalance", "day"), path, batch_id, ["day"])
 
     return _each_batch(events, write, checkpoint, every)
 
@@ -133,7 +138,7 @@ def stream_hourly_counts(raw: DataFrame, path: str, checkpoint: str, every: str
 
     def write(batch: DataFrame, batch_id: int) -> None:
         counts = heatmap_hourly(batch).withColumn("dt", F.to_date("bucket_start"))
-        append_delta(counts.coalesce(WRITERS), path, batch_id, ["dt"])
+        append_delta(counts.hint("rebalance", "dt"), path, batch_id, ["dt"])
 
     return _each_batch(raw, write, checkpoint, every)
 
@@ -151,7 +156,9 @@ def count_with_bloom(
 
     Each micro-batch reads the filter its predecessor left, and leaves the next one, of a size fixed
     by ``capacity`` and the days kept. A micro-batch that runs again reads and writes the same
-    folders. A day beyond its planned capacity stops the stream.
+    folders. A day beyond its planned capacity stops the stream. A day's filter is kept for KEEP_DAYS
+    after the last micro-batch that brought events of it, so a wrong date touches its own day only, and
+    a replay of old days is known as long as they keep coming in.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -161,11 +168,18 @@ def count_with_bloom(
         )
         fresh = saved(bloom.bloom_skip(batch, known, capacity), "fresh")
         merged = bloom.merge_filters(known, bloom.build_filter(fresh, capacity))
-        newest = known.select("day").unionByName(fresh.select("day")).agg(F.max("day")).first()[0]
-        recent = merged.filter(F.col("day") > F.date_sub(F.lit(newest), bloom.KEEP_DAYS))
+        touched = listen_day(batch).select("day", F.current_timestamp().alias("at"))
+        if batch_id:
+            touched = touched.unionByName(spark.read.schema(_TOUCHED).parquet(f"{filters}/days/batch={batch_id - 1}"))
+        alive = touched.groupBy("day").agg(F.max("at").alias("at")).filter(
+            F.col("at") > F.current_timestamp() - F.make_interval(days=F.lit(bloom.KEEP_DAYS))
+        )
+        alive.write.mode("overwrite").parquet(f"{filters}/days/batch={batch_id}")
+        alive = spark.read.schema(_TOUCHED).parquet(f"{filters}/days/batch={batch_id}")
+        recent = merged.join(alive, "day", "left_semi")
         bloom.check_load(recent, capacity).write.mode("overwrite").parquet(f"{filters}/batch={batch_id}")
         counts = fresh.groupBy("user_id", "day", "song_id").agg(F.count(F.lit(1)).alias("delta"))
-        append_delta(counts.coalesce(WRITERS), counters, batch_id, ["day"])
+        append_delta(counts.hint("rebalance", "day"), counters, batch_id, ["day"])
 
     return _each_batch(listens, write, checkpoint, every)
 
@@ -177,22 +191,23 @@ def thin_events_stream(
 ) -> StreamingQuery:
     """Cap the event rate per (client, screen) across micro-batches; read with ``read_thinned``.
 
-    The last kept time per key is handed from batch to batch. Keys idle for longer than ``forget``
-    are dropped from it; events later than that are treated as new.
+    The last kept time per key is handed from batch to batch. A key that has brought no kept event for
+    ``forget`` of arrival time is dropped from it, whatever times its events carry; what comes
+    later is treated as new.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        state = T.StructType([batch.schema[k] for k in keys] + [T.StructField("last_kept", T.TimestampType())])
+        times = [T.StructField(n, T.TimestampType()) for n in ("last_kept", "arrived")]
+        state = T.StructType([batch.schema[k] for k in keys] + times)
         before = spark.read.schema(state).parquet(f"{path}/last/batch={batch_id - 1}") if batch_id else None
         kept = spacing.keep_spaced(batch, list(keys), time, spacing.gap_for_rate(rate), list(order), after=before)
         kept.write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
         written = spark.read.schema(batch.schema).parquet(f"{path}/rows/batch={batch_id}")
-        seen = written.select(*keys, F.col(time).alias("last_kept"))
+        seen = written.select(*keys, F.col(time).alias("last_kept"), F.current_timestamp().alias("arrived"))
         seen = seen if before is None else seen.unionByName(before)
-        newest = seen.agg(F.unix_micros(F.max("last_kept"))).first()[0]
-        horizon = F.timestamp_micros(F.lit(newest).cast("bigint")) - F.expr(f"INTERVAL {forget}")
-        alive = seen.groupBy(*keys).agg(F.max("last_kept").alias("last_kept")).filter(F.col("last_kept") >= horizon)
+        alive = seen.groupBy(*keys).agg(F.max("last_kept").alias("last_kept"), F.max("arrived").alias("arrived"))
+        alive = alive.filter(F.col("arrived") >= F.current_timestamp() - F.expr(f"INTERVAL {forget}"))
         alive.write.mode("overwrite").parquet(f"{path}/last/batch={batch_id}")
 
     return _each_batch(events, write, checkpoint, every)

@@ -1,45 +1,38 @@
-"""Streaming transformations (stateful dedup, running counts) that return streaming frames."""
+"""Streaming transformations (stateful dedup) that return streaming frames."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridtally.functions import as_instant
 from gridtally.operators.bloom import KEEP_DAYS
 from gridtally.operators.dedup import BATCH_KEY, BATCH_TTL_HOURS
-from gridtally.operators.grid import filter_event_type, grid_cell, listen_day
+from gridtally.operators.grid import listen_day
 from gridtally.session import use_rocksdb_state
 
 
-def dedup_batches_stream(batches: DataFrame, ttl_hours: int = BATCH_TTL_HOURS) -> DataFrame:
-    """Drop repeats of (client_id, batch_id); received_at is the arrival, so nothing is late.
+def _arriving(rows: DataFrame, keep: str) -> DataFrame:
+    """Stamp rows with the time of their micro-batch and let state live for ``keep`` after it.
 
-    State is kept per id for the TTL from first sight. Blank ids go around the state.
+    No row can arrive before its own micro-batch, so none is ever late, whatever times it carries.
     """
-    use_rocksdb_state(batches.sparkSession)
-    timed = batches.withWatermark("received_at", f"{ttl_hours} hours")
-    blank = F.coalesce(F.col("batch_id") == "", F.lit(True))
-    return timed.filter(blank).unionByName(timed.filter(~blank).dropDuplicatesWithinWatermark(BATCH_KEY))
+    use_rocksdb_state(rows.sparkSession)
+    return rows.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", keep)
 
 
-def dedup_events_stream(listens: DataFrame, keep_days: int = KEEP_DAYS) -> DataFrame:
-    """Drop a repeated event_id within its day; ids are remembered for ``keep_days``."""
-    use_rocksdb_state(listens.sparkSession)
-    timed = listen_day(listens).withWatermark("listened_ts", f"{keep_days} days")
-    return timed.dropDuplicatesWithinWatermark(["day", "event_id"])
+def dedup_batches_stream(batches: DataFrame, ttl_hours: int = BATCH_TTL_HOURS) -> DataFrame:
+    """Drop repeats of (client_id, batch_id) that arrive within the TTL of the first copy.
 
+    State is kept per id from its arrival, not from any time a client sent, so an odd time loses
+    nothing. Blank ids go around the state.
+    """
+    blank = F.coalesce(F.col("batch_id") == "", F.lit(True))
+    keyed = _arriving(batches.filter(~blank), f"{ttl_hours} hours").dropDuplicatesWithinWatermark(BATCH_KEY)
+    return batches.filter(blank).unionByName(keyed.drop("_arrived"))
 
-def windowed_hourly_counts(raw: DataFrame, late: str = "1 hour") -> DataFrame:
-    """Running hourly cells with event-time windows: append output once an hour is final.
 
-    Hours still open are held back and later events are dropped; use the delta counters of
-    ``gridtally.streaming.sinks`` where every event has to count.
-    """
-    use_rocksdb_state(raw.sparkSession)
-    instant = as_instant(F.col("event_time"), raw.schema["event_time"].dataType.simpleString())
-    cells = grid_cell(filter_event_type(raw)).withColumn("at", instant).withWatermark("at", late)
-    counted = cells.groupBy("client_id", "screen_id", F.window("at", "1 hour"), "cell_x", "cell_y").agg(
-        F.count(F.lit(1)).alias("count")
-    )
-    return counted.select("client_id", "screen_id", F.col("window.start").alias("bucket_start"), "cell_x", "cell_y", "count")
+def dedup_events_stream(listens: DataFrame, keep_days: int = KEEP_DAYS) -> DataFrame:
+    """Drop an event_id that repeats within its day; ids are remembered for ``keep_days`` after
+    they arrive. Events of any day count, however late or far ahead."""
+    arrived = _arriving(listen_day(listens), f"{keep_days} days")
+    return arrived.dropDuplicatesWithinWatermark(["day", "event_id"]).drop("_arrived")

@@ -57,11 +57,27 @@ def test_due_stuck_and_claims(spark):
     due = keyed.due_work(schedule, NOW)
     assert [(r.user_id, r.provider) for r in due.collect()] == [("user-001", "spotify"), ("user-001", "youtube"), ("user-002", "spotify")]
     assert keyed.due_work(schedule, NOW, 2).count() == 2
-    claimed = keyed.claim_rows(schedule, due).collect()
-    assert {(r.status, r.updated_at) for r in claimed} == {("ENQUEUED", NOW)} and len(claimed) == 3
+    later = NOW + timedelta(minutes=30)
+    claimed = keyed.claim_rows(schedule, due, later).collect()
+    assert {(r.status, r.updated_at) for r in claimed} == {("ENQUEUED", later)} and len(claimed) == 3
     stuck = keyed.stuck_work(schedule, NOW, minutes=10)
     assert [r.user_id for r in stuck.collect()] == ["user-004"]
-    assert keyed.claim_rows(schedule, stuck, touch_at=NOW).first().updated_at == NOW
+    assert keyed.claim_rows(schedule, stuck, NOW).first().updated_at == NOW
+
+
+def test_a_claim_is_seen_by_the_next_round_and_can_be_released(spark):
+    begun = _events(spark, [(0, "IDLE", "boom")])
+    at = NOW + timedelta(hours=1)
+    schedule = keyed.apply_status_events(begun)
+    claim = keyed.claim_events(keyed.claim_rows(schedule, keyed.due_work(schedule, at), at), seq=1)
+    assert claim.columns == begun.columns or set(claim.columns) == set(begun.columns)
+    queued = begun.unionByName(claim)
+    after = keyed.apply_status_events(queued)
+    assert keyed.due_work(after, at).isEmpty()
+    assert keyed.stuck_work(after, at + timedelta(minutes=5), minutes=10).isEmpty()
+    released = queued.unionByName(spark.createDataFrame([("u", "p", keyed.RELEASED, None, at, 2)], schemas.STATUS_EVENT))
+    assert _state(keyed.apply_status_events(released)) == ("IDLE", NOW, "boom")
+    assert keyed.due_work(keyed.apply_status_events(released), at).count() == 1
 
 
 def test_links(spark):

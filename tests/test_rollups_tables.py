@@ -1,4 +1,5 @@
-from datetime import datetime
+import os
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -235,3 +236,45 @@ def test_work_folder_comes_from_the_session(spark):
     assert work_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     frame = spark.range(3)
     assert saved(frame, "x").dtypes == frame.dtypes and saved(frame, "x").count() == 3
+
+
+def test_replacing_buckets_takes_as_many_jobs_for_two_as_for_hundreds(spark, path):
+    rows = spark.createDataFrame([("c", "s", datetime(2024, 1, 1, 5), 0, 0, 3)], schemas.TIER_ROW)
+
+    def jobs(count, name):
+        hours = [datetime(2024, 1, 1) + timedelta(hours=n) for n in range(count)]
+        tracker = spark.sparkContext.statusTracker()
+        spark.sparkContext.setJobGroup(name, name)
+        try:
+            tables.replace_buckets(rows, path(name), "hourly", hours)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(tracker.getJobIdsForGroup(name))
+
+    assert jobs(300, "many") <= jobs(6, "few") + 1
+    assert tables.read_tier(spark, path("many"), "hourly").count() == 1
+    tables.replace_buckets(rows.limit(0), path("many"), "hourly", [datetime(2024, 1, 1, 5)])
+    assert not os.path.exists(path("many") + "/dt=2024-01-01/hour=5")
+
+
+def test_readers_list_only_the_folders_asked_for(spark, path):
+    schema = "client_id string, screen_id string, event_time string"
+    rows = [("c", "s", f"2024-01-{d:02d}T{h:02d}:30:00Z") for d in (1, 2, 3) for h in range(24)]
+    raw = spark.createDataFrame(rows, schema)
+    for name in ("batch_id", "event_type", "received_at"):
+        raw = raw.withColumn(name, F.lit("x"))
+    raw = raw.withColumns({"x_norm": F.lit(0.5), "y_norm": F.lit(0.5)})
+    raw_files.land_batch(raw, path("raw"))
+    hour = raw_files.read_bucket_partition(spark, path("raw"), "2024-01-02", 7)
+    assert hour.count() == 1 and len(hour._jdf.queryExecution().analyzed().collectLeaves().head().relation().location().inputFiles()) == 1
+    days = raw_files.read_bucket_range(spark, path("raw"), "2024-01-02", "2024-02-20")
+    assert days.count() == 48
+    assert raw_files.read_bucket_partition(spark, path("raw"), "2025-01-02", 7).count() == 0
+
+
+def test_the_hourly_job_counts_every_row_of_its_folder(spark, path):
+    rows = [("c", "s", "b", t, 0.5, 0.5, "mousemove", t) for t in ("2024-01-02T07:10:00Z", "not a time")]
+    names = ["client_id", "screen_id", "batch_id", "event_time", "x_norm", "y_norm", "event_type", "received_at"]
+    spark.createDataFrame(rows, names).coalesce(1).write.json(path("raw") + "/dt=2024-01-02/hour=07")
+    heatmap_jobs.hourly_job(spark, path("raw"), path("tier"), "2024-01-02", "07")
+    assert [(str(r.bucket_start), r["count"]) for r in tables.read_tier(spark, path("tier"), "hourly").collect()] == [("2024-01-02 07:00:00", 2)]

@@ -101,19 +101,26 @@ _TIER_BUILDERS = {
 }
 _TIER_SQL = {"hourly": views.HOURLY, "daily": views.DAILY, "weekly": views.WEEKLY}
 _TIER_UNIT = {"hourly": "hour", "daily": "day", "weekly": "week"}
+_TIER_ASKED = {"hourly": "hour", "daily": "day", "weekly": "day"}
 _TIER_LIMIT = {"hourly": 24, "daily": 30, "weekly": 12}
 
 
 def _read_queries(tier: str) -> None:
     cells = f"""WITH {_TIER_SQL[tier]} SELECT {TIER} FROM {tier}
-      WHERE (client_id, screen_id, bucket_start) IN (SELECT client_id, screen_id, bucket_start FROM {tier})"""
+      WHERE {_TIER_ASKED[tier]}(bucket_start) % 3 = 1"""
 
     @query(f"query_heatmap_{tier}", cells)
     def _(spark, d):
-        """Cells of every (client, screen, bucket), from a tier that was loaded in two inserts."""
+        """Cells of a third of the buckets, and of buckets that are empty, from a stored tier that was loaded
+        in two inserts."""
         raw = views.raw_events(spark, d)
-        requests = grid.assign_bucket(grid.filter_event_type(raw), _TIER_UNIT[tier])
-        return heatmap_queries.cells_for(_twice_loaded(raw, _TIER_BUILDERS[tier]), requests)
+        stored = work_path(spark, f"{tier}-tier")
+        tables.write_tier(_twice_loaded(raw, _TIER_BUILDERS[tier]), stored, tier)
+        asked = {"hour": F.hour, "day": F.day}[_TIER_ASKED[tier]]
+        known = grid.assign_bucket(grid.filter_event_type(raw), _TIER_UNIT[tier]).select("client_id", "screen_id", "bucket_start")
+        wanted = known.filter(asked("bucket_start") % 3 == 1)
+        empty = known.withColumn("bucket_start", F.col("bucket_start") + F.expr("INTERVAL 1000 DAYS"))
+        return heatmap_queries.cells_for(tables.read_tier(spark, stored, tier), wanted.unionByName(empty))
 
     newest = f"""WITH {_TIER_SQL[tier]} SELECT client_id, screen_id, bucket_start, events FROM (
       SELECT *, row_number() OVER (PARTITION BY client_id, screen_id ORDER BY bucket_start DESC) AS n FROM (
@@ -228,6 +235,8 @@ def _(spark, d):
     return dedup_batches(views.replayed(once), tie=("screen_id",))
 
 
+# Records that hold no event; an empty object does, with nothing set.
+_NOT_OBJECTS = [("blank", ""), ("blank", "   "), ("null", "null"), ("array", "[]"), ("number", "17"), ("text", '"x"')]
 _LOG = f"""{views.LISTENS}, log AS (
   SELECT *, CAST(event_id AS BIGINT) % 17 = 0 AS broken FROM listens)"""
 
@@ -236,17 +245,20 @@ def _log_records(spark, d):
     """Keyed JSON records of which every 17th lost its end."""
     broken = F.get_json_object("value", "$.event_id").cast("bigint") % 17 == 0
     cut = F.expr("substring(value, 1, length(value) - 5)")
-    return event_log.encode_listens(views.listens(spark, d)).withColumn("value", F.when(broken, cut).otherwise(F.col("value")))
+    log = event_log.encode_listens(views.listens(spark, d)).withColumn("value", F.when(broken, cut).otherwise(F.col("value")))
+    return log.unionByName(spark.createDataFrame([*_NOT_OBJECTS, ("empty", "{}")], schemas.LOG_RECORD))
 
 
-@query("decode_or_skip", f"""WITH {_LOG} SELECT event_id, user_id, song_id, provider, listened_at FROM log WHERE NOT broken""")
+@query("decode_or_skip", f"""WITH {_LOG} SELECT event_id, user_id, song_id, provider, listened_at FROM log WHERE NOT broken
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL""")
 def _(spark, d):
     return ingest.decode_log(_log_records(spark, d), schemas.LISTEN_EVENT)[0]
 
 
 @query("decode_quarantine", f"""WITH {_LOG} SELECT user_id AS key, left(value, length(value) - 5) AS value FROM (
   SELECT user_id, '{{"event_id":"' || event_id || '","user_id":"' || user_id || '","song_id":"' || song_id
-    || '","provider":"' || provider || '","listened_at":' || listened_at || '}}' AS value FROM log WHERE broken)""")
+    || '","provider":"' || provider || '","listened_at":' || listened_at || '}}' AS value FROM log WHERE broken)
+UNION ALL VALUES {", ".join(f"('{k}', '{v}')" for k, v in _NOT_OBJECTS)}""")
 def _(spark, d):
     return ingest.decode_log(_log_records(spark, d), schemas.LISTEN_EVENT)[1]
 

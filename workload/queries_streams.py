@@ -22,9 +22,19 @@ from workload.queries_listens import _SCHEDULE_COLUMNS
 from workload.registry import query
 
 
-def _stream(spark, path: str, schema) -> DataFrame:
-    """Files as a stream. The pattern lets a table be one file or a folder of files."""
-    return event_log.read_file_stream(spark, f"{path}*", schema)
+#: Files, and so micro-batches, that a table arrives in.
+ARRIVALS = 6
+
+
+def _arriving(spark, rows: DataFrame) -> DataFrame:
+    """Rows as a stream of several micro-batches, dealt out in turn: out of time order, copies apart."""
+    folder = work_path(spark, "arrivals")
+    rows.repartition(ARRIVALS).write.parquet(folder)
+    return event_log.read_file_stream(spark, folder, rows.schema, files_per_batch=1)
+
+
+def _replayed(spark, d) -> DataFrame:
+    return _arriving(spark, views.listens_replayed(spark, d))
 
 
 def _finish(running: StreamingQuery) -> None:
@@ -32,7 +42,7 @@ def _finish(running: StreamingQuery) -> None:
 
 
 def _events(spark, d):
-    return views.timed_events(_stream(spark, f"{d}/events.parquet", views.SCHEMAS["events"]))
+    return _arriving(spark, views.timed_events(views.table(spark, d, "events")))
 
 
 def _raw_text(rows):
@@ -54,9 +64,9 @@ def _(spark, d):
     """Batches sent twice: validated, deduplicated, exploded and landed."""
     arrived, base = work_path(spark, "batches"), raw_files.raw_base(work_path(spark, "admitted"), "parquet")
     sent = views.replayed(views.batches(spark, d))
-    sent.write.parquet(arrived)
+    sent.repartition(ARRIVALS).write.parquet(arrived)
     for running in ingest_streams.admit_batches(
-        lambda: event_log.read_file_stream(spark, arrived, sent.schema), base, work_path(spark, "quarantine"),
+        lambda: event_log.read_file_stream(spark, arrived, sent.schema, files_per_batch=1), base, work_path(spark, "quarantine"),
         work_path(spark, "cp"), "parquet", every=None, hour_writers=1,
     ):
         _finish(running)
@@ -74,8 +84,8 @@ def _(spark, d):
 def _(spark, d):
     """Keyed JSON records as a file stream, decoded on the way into a table."""
     log, out = work_path(spark, "log"), work_path(spark, "decoded")
-    event_log.encode_listens(views.listens(spark, d)).write.parquet(log)
-    decoded, _ = ingest.decode_log(event_log.read_file_stream(spark, log), schemas.LISTEN_EVENT)
+    event_log.encode_listens(views.listens(spark, d)).repartition(ARRIVALS).write.parquet(log)
+    decoded, _ = ingest.decode_log(event_log.read_file_stream(spark, log, files_per_batch=1), schemas.LISTEN_EVENT)
     writer = decoded.writeStream.format("parquet").option("path", out).option("checkpointLocation", work_path(spark, "cp"))
     _finish(writer.trigger(availableNow=True).start())
     return spark.read.schema(schemas.LISTEN_EVENT).parquet(out)
@@ -85,8 +95,7 @@ def _(spark, d):
   event_id, song_id, provider FROM listens""")
 def _(spark, d):
     path = work_path(spark, "history")
-    replays = views.with_replays(views.listens_from(_events(spark, d)))
-    _finish(sinks.upsert_history(replays, path, work_path(spark, "cp"), every=None))
+    _finish(sinks.upsert_history(_replayed(spark, d), path, work_path(spark, "cp"), every=None))
     return sinks.read_history(spark, path)
 
 
@@ -94,7 +103,7 @@ def _(spark, d):
 def _(spark, d):
     """Counters without dedup in front: replays count, as the counter itself has no memory."""
     path = work_path(spark, "counters")
-    rows = views.with_replays(views.listens_from(_events(spark, d)))
+    rows = _replayed(spark, d)
     days = rows.withColumn("day", F.to_date(F.timestamp_seconds("listened_at")))
     _finish(sinks.increment_counters(days, path, work_path(spark, "cp"), every=None))
     return sinks.read_counters(spark, path)
@@ -102,12 +111,10 @@ def _(spark, d):
 
 @query("dedup_batches_stream", f"WITH {views.BATCH_EVENTS} SELECT client_id, screen_id, batch_id, n FROM batch")
 def _(spark, d):
-    arrived, out = work_path(spark, "batches"), work_path(spark, "unique-batches")
+    out = work_path(spark, "unique-batches")
     slim = views.batches(spark, d).withColumn("n", F.size("events").cast("bigint")).drop("events")
-    sent = views.replayed(slim)
-    sent.write.parquet(arrived)
     # Copies differ in arrival only, and which of one micro-batch is kept is not defined.
-    unique = streams.dedup_batches_stream(_stream(spark, arrived, sent.schema))
+    unique = streams.dedup_batches_stream(_arriving(spark, views.replayed(slim)))
     writer = unique.writeStream.format("parquet").option("path", out).option("checkpointLocation", work_path(spark, "cp"))
     _finish(writer.trigger(availableNow=True).start())
     return spark.read.schema("client_id string, screen_id string, batch_id string, n bigint").parquet(out)
@@ -116,7 +123,7 @@ def _(spark, d):
 @query("dedup_events_stream", f"WITH {views.LISTENS} SELECT day, event_id, user_id, song_id, provider, listened_at FROM listens")
 def _(spark, d):
     out = work_path(spark, "unique-events")
-    unique = streams.dedup_events_stream(views.with_replays(views.listens_from(_events(spark, d))))
+    unique = streams.dedup_events_stream(_replayed(spark, d))
     writer = unique.drop("listened_ts").writeStream.format("parquet").option("path", out)
     _finish(writer.option("checkpointLocation", work_path(spark, "cp")).trigger(availableNow=True).start())
     return spark.read.schema("event_id string, user_id string, song_id string, provider string, listened_at bigint, day date").parquet(out)
@@ -133,7 +140,7 @@ def _(spark, d):
 def _(spark, d):
     """Dedup by event, then 30-second counter flushes."""
     path = work_path(spark, "counters")
-    unique = streams.dedup_events_stream(views.with_replays(views.listens_from(_events(spark, d))))
+    unique = streams.dedup_events_stream(_replayed(spark, d))
     _finish(sinks.increment_counters(unique, path, work_path(spark, "cp"), every=None))
     return sinks.read_counters(spark, path)
 
@@ -141,7 +148,7 @@ def _(spark, d):
 @query("apply_status_stream", f"WITH {views.STATUS} SELECT {_SCHEDULE_COLUMNS} FROM schedule")
 def _(spark, d):
     path = work_path(spark, "status")
-    changes = views.status_from(_stream(spark, f"{d}/orders.parquet", views.SCHEMAS["orders"]))
+    changes = _arriving(spark, views.status_events(spark, d))
     _finish(sinks.apply_status_stream(changes, path, work_path(spark, "cp"), every=None))
     return sinks.read_schedule(spark, path)
 
@@ -161,6 +168,6 @@ def _(spark, d):
 def _(spark, d):
     """Counters behind the Bloom filter, which at its planned size makes no mistake on this data."""
     counters = work_path(spark, "counters")
-    rows = views.with_replays(views.listens_from(_events(spark, d)))
+    rows = _replayed(spark, d)
     _finish(sinks.count_with_bloom(rows, counters, work_path(spark, "bloom"), work_path(spark, "cp"), every=None))
     return sinks.read_counters(spark, counters)

@@ -183,12 +183,13 @@ FOLLOWS = """follows AS (
 
 
 def status_from(orders: DataFrame) -> DataFrame:
-    status = F.when(F.col("o_orderstatus") == "F", "IDLE").when(F.col("o_orderstatus") == "O", "ENQUEUED").otherwise("RUNNING")
+    released = (F.col("o_orderstatus") == "F") & (F.col("o_orderkey") % 7 == 3)
+    status = F.when(released, "RELEASED").when(F.col("o_orderstatus") == "F", "IDLE").when(F.col("o_orderstatus") == "O", "ENQUEUED").otherwise("RUNNING")
     return orders.select(
         F.col("o_custkey").cast("string").alias("user_id"),
         F.col("o_orderpriority").alias("provider"),
         status.alias("status"),
-        F.when((F.col("o_orderstatus") == "F") & (F.col("o_orderkey") % 11 == 0), "publish error").alias("error"),
+        F.when((F.col("o_orderstatus") == "F") & ~released & (F.col("o_orderkey") % 11 == 0), "publish error").alias("error"),
         F.col("o_orderdate").cast("timestamp").alias("ts"),
         F.col("o_orderkey").alias("seq"),
     )
@@ -200,21 +201,22 @@ def status_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 STATUS = """status_events AS (
   SELECT CAST(o_custkey AS VARCHAR) AS user_id, o_orderpriority AS provider,
-         CASE o_orderstatus WHEN 'F' THEN 'IDLE' WHEN 'O' THEN 'ENQUEUED' ELSE 'RUNNING' END AS status,
-         CASE WHEN o_orderstatus = 'F' AND o_orderkey % 11 = 0 THEN 'publish error' END AS error,
+         CASE WHEN o_orderstatus = 'F' AND o_orderkey % 7 = 3 THEN 'RELEASED' WHEN o_orderstatus = 'F' THEN 'IDLE'
+           WHEN o_orderstatus = 'O' THEN 'ENQUEUED' ELSE 'RUNNING' END AS status,
+         CASE WHEN o_orderstatus = 'F' AND o_orderkey % 7 <> 3 AND o_orderkey % 11 = 0 THEN 'publish error' END AS error,
          o_orderdate AS ts, o_orderkey AS seq
   FROM orders), latest AS (
   SELECT *, row_number() OVER (PARTITION BY user_id, provider ORDER BY ts DESC, seq DESC) AS n FROM status_events
 ), errors AS (
   SELECT *, row_number() OVER (PARTITION BY user_id, provider ORDER BY ts DESC, seq DESC) AS n
-  FROM status_events WHERE status <> 'ENQUEUED'
+  FROM status_events WHERE status IN ('IDLE', 'RUNNING')
 ), done AS (
   SELECT user_id, provider, max(ts) AS ts FROM status_events WHERE status = 'IDLE' AND error IS NULL GROUP BY ALL
 ), born AS (
   SELECT user_id, provider, min(ts) AS ts FROM status_events GROUP BY ALL
 ), schedule AS (
   SELECT l.user_id, l.provider, CAST(coalesce(d.ts + INTERVAL 24 HOUR, b.ts) AS TIMESTAMP) AS next_crawl_at,
-         l.status, l.ts AS updated_at, b.ts AS created_at, e.error AS last_error
+         replace(l.status, 'RELEASED', 'IDLE') AS status, l.ts AS updated_at, b.ts AS created_at, e.error AS last_error
   FROM latest l JOIN born b USING (user_id, provider)
   LEFT JOIN done d USING (user_id, provider)
   LEFT JOIN (SELECT * FROM errors WHERE n = 1) e USING (user_id, provider)
