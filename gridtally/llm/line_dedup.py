@@ -56,15 +56,23 @@ def _lines(docs: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for o, d, body in zip(batch["o"], batch["d"], batch["text"]):
+            counts, hashes, runs = [], [], []
+            for body in batch["text"]:
                 lines = [x for x in body.encode("utf-8", "replace").split(b"\n") if x.strip(b" \t\n\x0b\x0c\r")]
-                if not lines:
-                    continue
-                forward, back = _shortest(np.array([len(x.split()) for x in lines]), min_words)
-                digests = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, lines)), np.int64).reshape(-1, 2)
-                yield pd.DataFrame(
-                    {"o": o, "d": d, "q": np.arange(len(lines)), "h1": digests[:, 0], "h2": digests[:, 1], "forward": forward, "back": back}
-                )
+                counts.append(len(lines))
+                hashes += map(xxhash.xxh3_128_digest, lines)
+                runs.append(_shortest(np.array([len(x.split()) for x in lines], np.int64), min_words))
+            if not hashes:
+                continue
+            digests = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
+            first = np.cumsum(counts) - counts
+            yield pd.DataFrame(
+                {
+                    "o": np.repeat(batch["o"].to_numpy(), counts), "d": np.repeat(batch["d"].to_numpy(), counts),
+                    "q": np.arange(len(digests)) - np.repeat(first, counts), "h1": digests[:, 0], "h2": digests[:, 1],
+                    "forward": np.concatenate([f for f, _ in runs]), "back": np.concatenate([b for _, b in runs]),
+                }
+            )
 
     rows = docs.select(_order(doc_id).alias("o"), _document(doc_id, text).alias("d"), F.col(f"`{text}`").alias("text"))
     return rows.filter("text <> ''").mapInPandas(split, "o long, d long, q long, h1 long, h2 long, forward long, back long")
