@@ -61,24 +61,55 @@ def _least(good: Callable[[int], bool], below: int, at: int) -> int:
     return at
 
 
-def smallest_capacity(summarize: Callable[[list[tuple[int, int]]], list[Steps]], total: int, shards: int) -> tuple[int, list[Point]]:
+Summarize = Callable[[list[tuple[int, int]]], list[Steps]]
+
+
+def _fits(summarize: Summarize, steps: list[Steps], capacity: int, total: int) -> list[Point] | None:
+    """The walk's ends at one capacity, or None if it does not reach the end.
+
+    Each round summarizes only the blocks in which the walk's steps fall, until the answer is sure.
+    """
+    while True:
+        low, high = walk(steps, capacity, total)
+        if low[-1][0] >= total:
+            return low
+        if high[-1] < total:
+            return None
+        steps = summarize(
+            [
+                (step.last_up_to(min(total, low[s][0] + capacity))[0][0], min(total, high[s] + capacity))
+                for s, step in enumerate(steps)
+            ]
+        )
+
+
+def smallest_capacity(summarize: Summarize, total: int, shards: int) -> tuple[int, list[Point]]:
     """The least capacity and the walk's ends. ``summarize`` gives the steps of each band [low, high]."""
     steps = [summarize([(0, total)])[0]] * shards
     bad, good = (total - 1) // shards, total
+    ends, before = walk(steps, good, total)[0], None
     while True:
-        good = _least(lambda c: walk(steps, c, total)[0][-1][0] >= total, bad, good)
+        sure = _least(lambda c: walk(steps, c, total)[0][-1][0] >= total, bad, good)
+        if sure < good:
+            good, ends = sure, walk(steps, sure, total)[0]
         bad = _least(lambda c: walk(steps, c, total)[1][-1] >= total, bad, good) - 1
         if good - bad <= 1:
-            return good, walk(steps, good, total)[0]
+            return good, ends
+        if (bad, good) == before:  # a very large group keeps the bands wide: settle one capacity for sure
+            middle = (bad + good) // 2
+            found = _fits(summarize, steps, middle, total)
+            bad, good, ends = (middle, good, ends) if found is None else (bad, middle, found)
+        before = bad, good
         from_ends, to_ends = walk(steps, bad + 1, total)[0], walk(steps, good, total)[1]
-        bands = [
-            (steps[s].last_up_to(min(total, from_ends[s][0] + bad + 1))[0][0], min(total, to_ends[s] + good))
-            for s in range(shards)
-        ]
-        steps = summarize(bands)
+        steps = summarize(
+            [
+                (steps[s].last_up_to(min(total, from_ends[s][0] + bad + 1))[0][0], min(total, to_ends[s] + good))
+                for s in range(shards)
+            ]
+        )
 
 
-def _summarizer(groups: DataFrame) -> Callable[[list[tuple[int, int]]], list[Steps]]:
+def _summarizer(groups: DataFrame) -> Summarize:
     """Blocks of group ends, for several bands in one job."""
 
     def summarize(bands: list[tuple[int, int]]) -> list[Steps]:
