@@ -1,4 +1,4 @@
-"""Intermediate tables whose shuffle files go as soon as the table is written."""
+"""Intermediate tables, tightly compressed, whose shuffle files go as soon as the table is written."""
 
 from __future__ import annotations
 
@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gridtally.session import saved
 
-_CLEAN_UP = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+_CLEAN_UP = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.parquet.compression.codec": "zstd",
+}
 
 
 @contextmanager

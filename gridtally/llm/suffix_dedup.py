@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -192,14 +193,23 @@ def _candidates(stretches: Stretches, flags: list, buckets: int) -> np.ndarray:
     return np.flatnonzero((shared | (low < high))[which])
 
 
+def _squeezed(raw: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(raw)
+
+
+def _unsqueezed(raw: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(raw)
+
+
 def _pairs(ranges: list[tuple[int, int]] | np.ndarray) -> bytes:
     return np.array(ranges, np.int64).reshape(-1, 2).tobytes()
 
 
 def _dealt_stretches(buckets: int):
-    """For each bucket the chunk's distinct stretches; under bucket -1, windows that are copies within the chunk.
+    """For each bucket the chunk's distinct stretches; under negative buckets, windows that are copies within it.
 
-    A stretch is sent once, by its smallest document, with all places it has there.
+    A stretch is sent once, by its smallest document, with all places it has there. What is dealt out is
+    compressed, as stretches overlap and lie in many rows.
     """
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -219,7 +229,8 @@ def _dealt_stretches(buckets: int):
                         first[key] = i
                 lead = np.array([first[key] for key in keys], np.int64)
                 later = docs > docs[lead] if len(lead) else np.zeros(0, bool)
-                rows = [(-1, chunk, b"", b"", b"", b"", b"", _pairs(np.stack([start[later], (start + windows)[later]], axis=1)))]
+                copies = _pairs(np.stack([start[later], (start + windows)[later]], axis=1))
+                rows = [(-1 - chunk % buckets, chunk, b"", b"", b"", b"", b"", _squeezed(copies))]
                 places: dict[int, list[int]] = {}
                 for i in np.flatnonzero(~later).tolist():
                     places.setdefault(int(lead[i]), []).append(int(start[i]))
@@ -229,9 +240,11 @@ def _dealt_stretches(buckets: int):
                     rows.append(
                         (
                             bucket, chunk,
-                            found.gram[pick][own].tobytes(), docs[own].tobytes(), np.array([len(keys[i]) for i in own], np.int64).tobytes(),
-                            b"".join([keys[i] for i in own]), np.array([len(places[i]) for i in own], np.int64).tobytes(),
-                            np.array([p for i in own for p in places[i]], np.int64).tobytes(),
+                            found.gram[pick][own].tobytes(), _squeezed(docs[own].tobytes()),
+                            _squeezed(np.array([len(keys[i]) for i in own], np.int64).tobytes()),
+                            _squeezed(b"".join([keys[i] for i in own])),
+                            _squeezed(np.array([len(places[i]) for i in own], np.int64).tobytes()),
+                            _squeezed(np.array([p for i in own for p in places[i]], np.int64).tobytes()),
                         )
                     )
                 yield pd.DataFrame(rows, columns=STRETCH_COLUMNS)
@@ -325,14 +338,17 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
 
 def _marked_windows(batch: pd.DataFrame) -> pd.DataFrame:
     """Ranges of window starts, by chunk, that a smaller document of this bucket has too."""
+    if len(batch) and batch["bucket"].iloc[0] < 0:
+        return pd.DataFrame({"chunk": batch["chunk"], "marks": [_unsqueezed(p) for p in batch["places"]]})
     kinds: dict[bytes, int] = {}  # gram and stretch
     data: list[bytes] = []
     least: list[int] = []
     per_gram: dict[bytes, int] = {}
     entries = []  # (row of batch, kind, doc, places)
-    for row, (grams, docs, lengths, raw, repeats, places) in enumerate(
+    for row, (grams, *squeezed) in enumerate(
         zip(batch["grams"], batch["docs"], batch["lengths"], batch["data"], batch["repeats"], batch["places"])
     ):
+        docs, lengths, raw, repeats, places = map(_unsqueezed, squeezed)
         ends = np.cumsum(np.frombuffer(lengths, np.int64)).tolist()
         upto = np.cumsum(np.frombuffer(repeats, np.int64)).tolist()
         places = np.frombuffer(places, np.int64).tolist()
@@ -409,9 +425,7 @@ def marked_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     shared = grams.groupBy("bucket").applyInPandas(_shared_grams, "chunk long, bucket long, bits binary")
     flags = stored(shared, "flags", **_FEW).groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits")).alias("flags"))
     dealt = chunks.join(flags, "chunk", "left").select("chunk", "ids", "sizes", "data", "flags").mapInPandas(_dealt_stretches(buckets), STRETCHES)
-    dealt = stored(dealt, "stretches", **_FEW)
-    marks = dealt.filter("bucket >= 0").groupBy("bucket").applyInPandas(_marked_windows, "chunk long, marks binary")
-    marks = stored(marks.unionByName(dealt.filter("bucket < 0").select("chunk", F.col("places").alias("marks"))), "marks")
+    marks = stored(dealt.groupBy("bucket").applyInPandas(_marked_windows, "chunk long, marks binary"), "marks", **_FEW)
     return chunks.join(marks.groupBy("chunk").agg(F.collect_list("marks").alias("marks")), "chunk", "left")
 
 

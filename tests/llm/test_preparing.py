@@ -282,7 +282,7 @@ PRIVATE = [
     (2, 'Mrs. Anna Schmidt and Mr Otto Weber; госпожа Иванова. 127.0.0.1 v1.2.3 10.20.30.400 token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"###'),
     (3, None), (4, ""), (5, "nothing here 2.0 2024-01-02 12345"), (None, "a.b-1@mail5.example.com again 4111-1111-1111-1111"),
     (6, "SSN 123-45-6789 IBAN DE89 3704 0044 0532 0130 00 end. Mr Otto Weber"), (6, "SSN 123-45-6789 IBAN DE89 3704 0044 0532 0130 00 end. Mr Otto Weber"),
-    (7, "x " * 20000 + "c.d@mail1.example.com" + "e" * 30000),
+    (7, "x " * 20000 + "c.d@mail1.example.com " + "e" * 30000),
 ]
 
 
