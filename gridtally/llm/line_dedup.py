@@ -171,7 +171,8 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words
             out = [(None, 0, 0, 0) if b is None else _cut(b, r if r is not None else []) for b, r in zip(bodies, runs)]
             yield pd.DataFrame(out, columns=["kept", "n_lines", "n_removed", "n_runs"])
 
-    joined = rows.join(found, PLACE, "left").withColumn("cut", cut("body", "runs"))
+    # Filters on the result must not be pushed below it, which would cut every text twice.
+    joined = rows.join(found, PLACE, "left").withColumn("cut", cut.asNondeterministic()("body", "runs"))
     return joined.select("row", "cut.*")
 
 

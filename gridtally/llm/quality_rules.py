@@ -147,4 +147,8 @@ def keep(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -
     """The documents that pass, with the columns they came with."""
     own = docs.columns
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("_row"), F.col(f"`{text}`").alias("_text"))
-    return judge(row, "_text", rules).filter("kept").select("_row.*")
+    judged = judge(row, "_text", rules)
+    # A plain filter would be pushed below the projections and repeat their work for every word; one row
+    # is generated for each that is kept instead.
+    kept = judged.select("_row", F.explode(F.array_repeat(F.lit(True), F.col("kept").cast("int"))).alias("_kept"))
+    return kept.select("_row.*")
