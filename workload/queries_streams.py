@@ -13,7 +13,7 @@ from gridtally import schemas
 from gridtally.functions import utc_text
 from gridtally.operators import ingest
 from gridtally.plans import ingest_streams
-from gridtally.session import work_path
+from gridtally.session import saved, work_path
 from gridtally.sources import event_log, raw_files
 from gridtally.streaming import sinks, streams
 from workload import views
@@ -33,6 +33,15 @@ def _arriving(spark, rows: DataFrame) -> DataFrame:
     return event_log.read_file_stream(spark, folder, rows.schema, files_per_batch=1)
 
 
+def _arriving_in_order(spark, rows: DataFrame, by: str) -> DataFrame:
+    """Rows as a stream of several micro-batches, each later in time than the one before."""
+    folder = work_path(spark, "arrivals")
+    parts = saved(rows.repartitionByRange(ARRIVALS, by).withColumn("_part", F.spark_partition_id()), "ranges")
+    for part in range(ARRIVALS):
+        parts.filter(F.col("_part") == part).drop("_part").coalesce(1).write.mode("append").parquet(folder)
+    return event_log.read_file_stream(spark, folder, rows.schema, files_per_batch=1)
+
+
 def _replayed(spark, d) -> DataFrame:
     return _arriving(spark, views.listens_replayed(spark, d))
 
@@ -155,9 +164,10 @@ def _(spark, d):
 
 @query("thin_events_stream", _spaced_sql("1 SECOND", _FAST))
 def _(spark, d):
-    """The month played 3600 times as fast, at most one event per second and screen."""
+    """The month played 3600 times as fast, at most one event per second and screen. Spacing is a rule on
+    time order, so the micro-batches come in that order."""
     path = work_path(spark, "thinned")
-    raw = views.raw_from(_events(spark, d))
+    raw = views.raw_from(_arriving_in_order(spark, views.timed_events(views.table(spark, d, "events")), "ts"))
     fast = F.timestamp_micros(F.expr("unix_micros(event_time) div 3600")).alias("event_time")
     moves = raw.select("client_id", "screen_id", fast, "event_id")
     _finish(sinks.thin_events_stream(moves, path, work_path(spark, "cp"), rate=1, order=("event_id",), every=None))
