@@ -357,10 +357,13 @@ def _(spark, d):
     return raw_files.read_raw_parquet(spark, _landed(spark, d, "parquet"))
 
 
-@query("read_bucket_partition", f"{_LANDED} WHERE event_time >= TIMESTAMP '2024-01-08' AND event_time < TIMESTAMP '2024-01-22'")
+@query("read_bucket_partition", f"""{_LANDED} WHERE event_time >= TIMESTAMP '2024-01-08' AND event_time < TIMESTAMP '2024-01-22'
+  OR event_time >= TIMESTAMP '2024-01-25 07:00:00' AND event_time < TIMESTAMP '2024-01-25 08:00:00'""")
 def _(spark, d):
-    """Two weeks of hour folders out of the whole landing area."""
-    return raw_files.read_bucket_range(spark, _landed(spark, d, "parquet"), "2024-01-08", "2024-01-21", "parquet")
+    """Two weeks of hour folders, and one hour of a later day, out of the whole landing area."""
+    base = _landed(spark, d, "parquet")
+    weeks = raw_files.read_bucket_range(spark, base, "2024-01-08", "2024-01-21", "parquet")
+    return weeks.unionByName(raw_files.read_bucket_partition(spark, base, "2024-01-25", "07", "parquet"))
 
 
 @query("replace_bucket", f"""WITH {views.DAILY} SELECT {TIER} FROM daily
