@@ -72,17 +72,21 @@ def _characters(text: Column) -> Column:
 
 
 def _respelled(text: Column, seed: Column, hexadecimal: Column) -> Column:
-    """Digits for digits and letters for letters of the same script; all else stays."""
+    """Digits for digits and letters for letters, of the same script where it has an alphabet here.
+
+    Other scripts get Latin letters. ASCII signs stay, unless the text has nothing else.
+    """
+    signs_only = ~text.rlike(r"[\p{L}\p{N}]")
 
     def spell(c: Column, i: Column) -> Column:
-        out = F.when(c.rlike(r"[0-9]"), _draw(seed, i, 10).cast("string"))
+        out = F.when(c.rlike(r"\p{N}"), _draw(seed, i, 10).cast("string"))
         out = out.when(hexadecimal, F.when(c.rlike("[a-f]"), F.char(97 + _draw(seed, i, 6))).otherwise(c))
         for script, (first, size) in _ALPHABETS.items():
             letters = F.array(*[F.lit(chr(ord(first) + k)) for k in range(size)])
             of = r"\p{IsLatin}" if script == "latin" else rf"\p{{Is{script.capitalize()}}}"
             letter = F.get(letters, _draw(seed, i, size).cast("int"))
             out = out.when(c.rlike(of), F.when(c == F.lower(c), letter).otherwise(F.upper(letter)))
-        return out.otherwise(c)
+        return out.when(signs_only | ~c.rlike(r"^\p{ASCII}"), F.char(97 + _draw(seed, i, 26))).otherwise(c)
 
     return F.array_join(F.transform(_characters(text), spell), "")
 
@@ -119,13 +123,16 @@ def _surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> tu
     body = F.concat(F.substring(canonical, 1, 1), F.expr("substring(spelled, 2, length(spelled) - 2)"))
     check = F.get(F.filter(F.array(*[F.lit(str(d)) for d in range(10)]), lambda d: F.call_function("luhn_check", F.concat(body, d))), 0)
     local = F.regexp_replace("spelled", r"\.[^.]*$", "")
+    # A text of few letters has few spellings; later attempts are told apart by what is added.
+    added = F.when(attempt >= 4, F.substring(F.sha2(F.concat(seed, F.lit("/added")), 256), 1, 12)).otherwise("")
     octets = F.concat_ws(".", *[_draw(seed, f"octet{k}", 254) + 1 for k in range(4)])
     chosen = (
         F.when(kind == "card", F.concat(body, check))
-        .when(kind == "email", F.concat(local, F.lit(".example")))
+        .when(kind == "email", F.concat(local, added, F.lit(".example")))
         .when(kind == "ip", octets)
         .when(kind == "male", _name("male", canonical, seed, attempt))
         .when(kind == "female", _name("female", canonical, seed, attempt))
+        .when(kind == "secret", F.concat("spelled", added))
         .otherwise(F.col("spelled"))
     )
     return spelled, chosen

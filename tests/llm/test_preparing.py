@@ -319,6 +319,22 @@ def test_colliding_surrogates_are_drawn_again(spark, monkeypatch):
     assert len(set(chosen)) == len(chosen) and not set(chosen) & {c for _, c in names + taken[:100]}
 
 
+def test_surrogates_of_any_script_and_of_signs(spark):
+    """Nothing of them stays in clear, and every candidate changes with the attempt, so the rounds end."""
+    emails = ["李雷@例子.公司", "李雷@例子.网络", "محمد١٢@مثال.شبكة", "محمد١٢@مثال.موقع", "דוד@דוגמה.קום", "홍길동@보기.한국", "a李@x.cn"]
+    secrets = ["+" * 16, "+/" * 9] + [chr(97 + k) + "-" * 15 for k in range(26)]
+    rows = [("email", e) for e in emails] + [("secret", s) for s in secrets]
+    entities = spark.createDataFrame(rows, "kind string, canonical string")
+    drawn = entities.crossJoin(spark.createDataFrame([(k,) for k in range(4, 8)], "attempt int"))
+    candidates = [(r["kind"], r["canonical"], r["surrogate"]) for r in surrogates._with_candidates(drawn, "key").collect()]
+    assert len({(k, s) for k, _, s in candidates}) == 4 * len(rows)
+    out = {(r["kind"], r["canonical"]): r["surrogate"] for r in surrogates.assign(entities, "key").collect()}
+    assert set(out) == set(rows) and len(set(out.values())) == len(rows) and not set(out.values()) & set(emails + secrets)
+    for e in emails:
+        assert out["email", e].isascii() and out["email", e].endswith(".example") and "@" in out["email", e]
+    assert all("+" not in out["secret", s] for s in secrets[:2])
+
+
 def test_pipeline_stages(spark, path):
     """Each stage against the plain rule, on what the stage before kept."""
     docs, kept = queries.documents(spark, SF), []
