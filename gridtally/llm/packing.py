@@ -36,13 +36,14 @@ def byte_letters() -> dict[str, int]:
 
 
 class ByteTokenizer:
-    """Ids of a byte-level vocabulary in the ``tokenizers`` file format, special strings read as plain text.
+    """Ids of a byte-level vocabulary in the ``tokenizers`` file format.
 
-    Encodes with tiktoken, which gives the same ids several times faster; what it refuses goes to the
-    library that the file is written for.
+    The strings of the file's added tokens are read as plain text, or with ``added`` as the library reads
+    them by default. Encodes with tiktoken, which gives the same ids several times faster; what it refuses,
+    and texts with an added token, go to the library that the file is written for.
     """
 
-    def __init__(self, spec: str):
+    def __init__(self, spec: str, added: bool = False):
         import tiktoken
 
         letters = byte_letters()
@@ -51,20 +52,27 @@ class ByteTokenizer:
         ranks = {bytes(map(letters.__getitem__, t)): i for t, i in read["model"]["vocab"].items() if t not in special}
         self.fast = tiktoken.Encoding("byte_level", pat_str=WORD_PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.spec = spec
+        self.added = sorted(special) if added else []
+        self.as_text = not added
         self.plain = None
 
     def ids(self, text: str) -> list[int]:
+        if any(token in text for token in self.added):
+            return self._library_ids(text)
         try:
             return self.fast.encode_ordinary(text)
         except BaseException as failed:  # a stack or backtracking limit in native code is not an Exception
             if isinstance(failed, (KeyboardInterrupt, SystemExit, MemoryError)):
                 raise
-            if self.plain is None:
-                from tokenizers import Tokenizer
+            return self._library_ids(text)
 
-                self.plain = Tokenizer.from_str(self.spec)
-                self.plain.encode_special_tokens = True
-            return self.plain.encode(text, add_special_tokens=False).ids
+    def _library_ids(self, text: str) -> list[int]:
+        if self.plain is None:
+            from tokenizers import Tokenizer
+
+            self.plain = Tokenizer.from_str(self.spec)
+            self.plain.encode_special_tokens = self.as_text
+        return self.plain.encode(text, add_special_tokens=False).ids
 
 
 def tokenized_pieces(docs: DataFrame, vocabulary: str, capacity: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -78,7 +86,7 @@ def tokenized_pieces(docs: DataFrame, vocabulary: str, capacity: int, doc_id: st
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokenizer = ByteTokenizer(shared.value)
+        tokenizer = ByteTokenizer(shared.value, added=True)
         task = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:

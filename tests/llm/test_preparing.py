@@ -133,6 +133,19 @@ def test_byte_tokenizer_equals_the_library():
     assert fast.ids("it's") == plain.encode("it's", add_special_tokens=False).ids
 
 
+def test_packed_ids_equal_the_unmodified_library(spark):
+    """The file's added tokens are tokens in the text too, as the library reads them by default."""
+    from tokenizers import Tokenizer
+
+    spec = queries.byte_vocabulary()
+    plain = Tokenizer.from_str(spec)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n", "<|endoftext|", "it's plain 日本語"]
+    rows = list(enumerate(texts))
+    assert plain.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    out = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), spec, 128).collect()
+    check_packed(out, rows, 128, lambda t: plain.encode(t, add_special_tokens=False).ids)
+
+
 def check_packed(out, documents, capacity, ids_of):
     by_document, sequences = defaultdict(list), defaultdict(list)
     for r in out:
