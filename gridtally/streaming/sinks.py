@@ -191,21 +191,39 @@ def thin_events_stream(
 ) -> StreamingQuery:
     """Cap the event rate per (client, screen) across micro-batches; read with ``read_thinned``.
 
-    The last kept time per key is handed from batch to batch. A key that has brought no kept event for
-    ``forget`` of arrival time is dropped from it, whatever times its events carry; what comes
-    later is treated as new.
+    Events may arrive in any order; the result is that of ``thin_events`` over all of them. The last kept
+    time per key is handed from batch to batch, and later events go on from it. A key that brings events
+    not later than that is thinned again from the earliest of them on, with its stored events; a row under
+    ``redone`` voids what was kept of it from there before. A key that has brought no kept event for
+    ``forget`` of arrival time is dropped from the last kept times, whatever times its events carry; what
+    comes later is treated as new.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         times = [T.StructField(n, T.TimestampType()) for n in ("last_kept", "arrived")]
         state = T.StructType([batch.schema[k] for k in keys] + times)
-        before = spark.read.schema(state).parquet(f"{path}/last/batch={batch_id - 1}") if batch_id else None
-        kept = spacing.keep_spaced(batch, list(keys), time, spacing.gap_for_rate(rate), list(order), after=before)
+        batch.filter(F.col(time).isNotNull()).write.mode("overwrite").parquet(f"{path}/events/batch={batch_id}")
+        rows = spark.read.schema(batch.schema).parquet(f"{path}/events/batch={batch_id}")
+        after = spark.read.schema(state).parquet(f"{path}/last/batch={batch_id - 1}") if batch_id else spark.createDataFrame([], state)
+
+        late = _beside(rows, after.select(*keys, F.col("last_kept").alias("_at")), keys).filter(F.col(time) <= F.col("_at"))
+        late.groupBy(*keys).agg(F.min(time).alias(time)).write.mode("overwrite").parquet(f"{path}/redone/batch={batch_id}")
+        redone = spark.read.schema(T.StructType([batch.schema[c] for c in (*keys, time)])).parquet(f"{path}/redone/batch={batch_id}")
+        lowest = redone.agg(F.min(F.unix_micros(time))).first()[0]
+        if lowest is not None:
+            since = redone.select(*keys, F.col(time).alias("_at"))
+            stored = read_deltas(spark, f"{path}/events", batch.schema).filter(F.col("batch") < batch_id)
+            stored = stored.filter(F.col(time) >= F.timestamp_micros(F.lit(lowest)))  # passes over older files
+            rows = rows.unionByName(_beside(stored, since, keys).filter(F.col(time) >= F.col("_at")).select(*batch.columns))
+            held = _beside(_thinned(spark, path, batch.schema, batch_id), since, keys).filter(F.col(time) < F.col("_at"))
+            held = held.groupBy(*keys).agg(F.max(time).alias("last_kept")).withColumn("arrived", F.current_timestamp())
+            after = saved(_beside(after, since, keys, "left_anti").unionByName(held), "after")
+
+        kept = spacing.keep_spaced(rows, list(keys), time, spacing.gap_for_rate(rate), list(order), after=after)
         kept.write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
         written = spark.read.schema(batch.schema).parquet(f"{path}/rows/batch={batch_id}")
-        seen = written.select(*keys, F.col(time).alias("last_kept"), F.current_timestamp().alias("arrived"))
-        seen = seen if before is None else seen.unionByName(before)
+        seen = written.select(*keys, F.col(time).alias("last_kept"), F.current_timestamp().alias("arrived")).unionByName(after)
         alive = seen.groupBy(*keys).agg(F.max("last_kept").alias("last_kept"), F.max("arrived").alias("arrived"))
         alive = alive.filter(F.col("arrived") >= F.current_timestamp() - F.expr(f"INTERVAL {forget}"))
         alive.write.mode("overwrite").parquet(f"{path}/last/batch={batch_id}")
@@ -213,8 +231,26 @@ def thin_events_stream(
     return _each_batch(events, write, checkpoint, every)
 
 
+def _beside(rows: DataFrame, other: DataFrame, keys: tuple[str, ...], how: str = "inner") -> DataFrame:
+    """Rows next to those of ``other`` with the same key; an empty key is a key too."""
+    other = other.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    return rows.join(other, same, how).drop(*[f"_of_{k}" for k in keys])
+
+
+def _thinned(spark: SparkSession, path: str, schema: T.StructType, until: int | None = None) -> DataFrame:
+    """Kept rows of the micro-batches before ``until``, without those that a later one decided anew."""
+    rows, redone = read_deltas(spark, f"{path}/rows", schema), spark.read.parquet(f"{path}/redone")
+    if until is not None:
+        rows, redone = rows.filter(F.col("batch") < until), redone.filter(F.col("batch") < until)
+    *keys, time = [c for c in redone.columns if c != "batch"]
+    again = redone.select(*[F.col(k).alias(f"_of_{k}") for k in keys], F.col(time).alias("_at"), F.col("batch").alias("_again"))
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    return rows.join(again, [*same, F.col("batch") < F.col("_again"), F.col(time) >= F.col("_at")], "left_anti")
+
+
 def read_thinned(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return read_deltas(spark, f"{path}/rows", schema).drop("batch")
+    return _thinned(spark, path, schema).drop("batch")
 
 
 def apply_status_stream(events: DataFrame, path: str, checkpoint: str, every: str | None = COUNT_EVERY) -> StreamingQuery:

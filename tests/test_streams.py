@@ -192,6 +192,27 @@ def test_thinning_goes_on_across_micro_batches(spark, path):
     assert _rows(sinks.read_thinned(spark, path("out"), moves.schema)) == _rows(expected)
 
 
+def test_thinning_takes_late_events_in(spark, path):
+    """Files out of time order, ties and a far time: the same rows as from all events at once."""
+    at = datetime(2024, 1, 10)
+    schema = "client_id string, screen_id string, event_time timestamp, event_id long"
+    row = lambda screen, seconds, n: (None if screen == "b" else "c", screen, at + timedelta(seconds=seconds), n)
+    parts = [
+        [row("a", 100, 1), row("b", 400 * 86400, 2), row("a", 103, 3)],
+        [row("a", 10, 4), row("a", 99.5, 5), row("b", 0, 6), row("b", 0.5, 7), row("b", 70, 8)],
+        [row("a", 100.2, 9), row("a", 103, 0), row("n", 1, 10), ("c", "a", None, 11)],
+        [row("a", 104.5, 12), row("b", 0.2, 13), row("n", 5, 14)],  # a in time, b late
+    ]
+    _in_turn(
+        spark, parts, path("in"), schema,
+        lambda s: sinks.thin_events_stream(s, path("out"), path("cp"), rate=1, order=("event_id",), every=None),
+    )
+    everything = spark.createDataFrame([r for part in parts for r in part], schema)
+    expected = spacing.thin_events(everything, rate=1, order=("event_id",))
+    assert sorted(r.event_id for r in expected.collect()) == [0, 2, 4, 5, 6, 8, 10, 12, 14]
+    assert _rows(sinks.read_thinned(spark, path("out"), everything.schema)) == _rows(expected)
+
+
 def test_bloom_counters_across_micro_batches(spark, path):
     rows = _timed(views.listens_replayed(spark, SF), "listened_at")
     # every file arrives twice, so the second copy has to be caught by the stored filter
