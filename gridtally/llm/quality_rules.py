@@ -37,12 +37,16 @@ class Rule:
     bottom: str
     low: float | None = None
     high: float | None = None
+    langs: tuple[str, ...] = ()  # only for texts of these languages; none: for all
 
 
+#: Codes of the languages that STOP_WORDS covers.
+STOP_LANGUAGES = ("en", "eng", "de", "deu", "ger", "fr", "fra", "fre", "es", "spa")
+
 RULES = (
     Rule("word_length", "word_chars", "n_words", low=2.0, high=15.0),
     Rule("symbols_per_word", "n_symbols", "n_words", high=0.3),
-    Rule("stop_words", "n_stop_words", "n_words", low=0.02),
+    Rule("stop_words", "n_stop_words", "n_words", low=0.02, langs=STOP_LANGUAGES),
     Rule("shouting_words", "n_shouted_words", "n_words", high=0.5),
     Rule("repeated_lines", "n_dup_lines", "n_lines", high=0.5),
     Rule("bullet_lines", "n_bullet_lines", "n_lines", high=0.9),
@@ -117,8 +121,20 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     return out.drop("_words", "_lines", "_hashes")
 
 
+def _in_language(langs: tuple[str, ...], text: Column, lang: Column) -> Column:
+    """Whether a text is of one of the languages; without a label, whether its letters are mostly Latin ones."""
+    code = F.lower(F.regexp_extract(lang, r"^\s*(\p{Alpha}+)", 1))
+    labelled = F.coalesce(~code.isin("", "und", "unknown"), F.lit(False))
+    n_letters = F.length(F.regexp_replace(text, r"\P{L}+", ""))
+    n_latin = F.length(F.regexp_replace(text, r"\P{IsLatin}+", ""))
+    return F.when(labelled, code.isin(*langs)).otherwise(2 * n_latin >= n_letters)
+
+
 def verdict(rules: tuple[Rule, ...] = RULES) -> Column:
-    """Names of the rules a measured row breaks; empty for a kept row."""
+    """Names of the rules a measured row breaks; empty for a kept row.
+
+    For a rule of some languages, the column ``_in_`` and its name tells whether the row is in one of them.
+    """
     broken = []
     for rule in rules:
         ratio = F.col(rule.top) / F.col(rule.bottom)
@@ -127,27 +143,35 @@ def verdict(rules: tuple[Rule, ...] = RULES) -> Column:
             bad = bad | (ratio < rule.low)
         if rule.high is not None:
             bad = bad | (ratio > rule.high)
+        if rule.langs:
+            bad = F.col(f"_in_{rule.name}") & bad
         broken.append(F.when((F.col(rule.bottom) > 0) & bad, F.lit(rule.name)))
     return F.filter(F.array(*broken), lambda name: name.isNotNull())
 
 
-def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, lang: str = "lang") -> DataFrame:
     """``docs`` with counts, ``base_failed``, ``broken_rules`` and ``kept``.
 
     A null or empty text has no words and fails the base; ties do not arise, each row is judged alone,
     so repeated rows get the same verdict. Columns of ``docs`` that have the name of a measure are replaced.
+    ``lang`` names the column of language codes, if there is one.
     """
-    out = measure(docs, text)
+    label = F.col(lang) if lang in docs.columns else F.lit(None)
+    body = F.coalesce(F.col(text), F.lit(""))
+    # Told before the text is measured, so that it need not be carried on.
+    languages = {f"_in_{r.name}": _in_language(r.langs, body, label.cast("string")) for r in rules if r.langs}
+    out = measure(docs.withColumns(languages), text)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    out = out.withColumns({"base_failed": failed, "broken_rules": verdict(rules)})
+    out = out.withColumns({"base_failed": failed, "broken_rules": verdict(rules)}).drop(*languages)
     return out.withColumn("kept", ~F.col("base_failed") & (F.size("broken_rules") == 0))
 
 
-def keep(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def keep(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, lang: str = "lang") -> DataFrame:
     """The documents that pass, with the columns they came with."""
     own = docs.columns
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("_row"), F.col(f"`{text}`").alias("_text"))
-    judged = judge(row, "_text", rules)
+    label = F.col(f"`{lang}`").cast("string") if lang in own else F.lit(None).cast("string")
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("_row"), F.col(f"`{text}`").alias("_text"), label.alias("_lang"))
+    judged = judge(row, "_text", rules, "_lang")
     # A plain filter would be pushed below the projections and repeat their work for every word; one row
     # is generated for each that is kept instead.
     kept = judged.select("_row", F.explode(F.array_repeat(F.lit(True), F.col("kept").cast("int"))).alias("_kept"))

@@ -45,7 +45,7 @@ def byte_vocabulary() -> str:
 @query("op2_quality_rules", oracles.QUALITY_RULES)
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
-    return quality_rules.judge(documents(spark, sf_dir).select("doc_id", "text")).select(
+    return quality_rules.judge(documents(spark, sf_dir).select("doc_id", "text", "lang")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         F.array_join("broken_rules", ",").alias("broken_rules"),
     )

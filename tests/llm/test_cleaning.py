@@ -77,6 +77,19 @@ def test_quality_rules_spare_prose_and_reject_junk(spark):
     assert rows == {1: True, 2: False, 3: False}
 
 
+def test_stop_words_bound_only_the_languages_they_are_of(spark):
+    say = lambda letters: " ".join(letters[k % 7 :][:5] + letters[k % 5 :][:4] + letters[k % 11] for k in range(80))
+    russian, greek, latin = say("абвгдежзиклмно"), say("αβγδεζηθικλμνξ"), say("bcdfghklmnprst")
+    arabic = say("ابتثجحخدذرزسشص")
+    docs = [(1, russian, "ru"), (2, greek, None), (3, latin, "pl"), (4, latin, "TR-tr"), (5, arabic, "und"), (6, latin, "en"), (7, latin, None), (8, latin, "de-AT"), (9, None, None)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    broken = {r["doc_id"]: r["broken_rules"] for r in quality_rules.judge(frame).collect()}
+    assert {i for i, names in broken.items() if "stop_words" in names} == {6, 7, 8}
+    assert {r["doc_id"] for r in quality_rules.keep(frame).collect()} == {1, 2, 3, 4, 5}
+    unlabelled = quality_rules.keep(frame.drop("lang"))
+    assert {r["doc_id"] for r in unlabelled.collect()} == {1, 2, 5}
+
+
 def line_oracle(rows, least=50):
     docs = sorted({(suffix_dedup.LAST if i is None else i, t) for i, t in rows if t})
     sequences = {d: [x for x in d[1].split("\n") if words(x)] for d in docs}
