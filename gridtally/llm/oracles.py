@@ -76,3 +76,23 @@ SELECT d.doc_id, coalesce(len(k.al), 0)::BIGINT AS n_lines, coalesce(len(k.al) -
   coalesce(len(list_filter(gone, lambda i: NOT list_contains(gone, i - 1))), 0)::BIGINT AS n_runs,
   sha256(coalesce(array_to_string(list_transform(kept, lambda i: k.al[i]), chr(10)), '')) AS kept_sha256
 FROM d LEFT JOIN k USING (doc_id)"""
+
+#: Counts over all documents, impacts in whole numbers, and the 20 best of every item.
+LEXICAL_SEARCH = """WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ts FROM documents),
+n AS (SELECT r, doc_id, len(ts)::BIGINT AS n FROM d WHERE len(ts) > 0),
+c AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM n),
+t AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(ts) AS term FROM d) GROUP BY r, term),
+i AS (SELECT item_id, text, term, count(*)::BIGINT AS times FROM (SELECT item_id, text, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark))
+  GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM t, c GROUP BY term, docs),
+s AS (SELECT item_id, text, r, doc_id, sum(times * w *
+    ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // terms))))::BIGINT AS score
+  FROM i JOIN t USING (term) JOIN w USING (term) JOIN n USING (r), c GROUP BY ALL),
+o AS (SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank
+  FROM (SELECT item_id, text, r, doc_id, score FROM s WHERE score > 0))
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM o WHERE rank <= 20"""

@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridtally.llm import decontamination, language_id, line_dedup, oracles, packing, quality_rules, sharding, simhash, suffix_dedup, surrogates, token_counts
+from gridtally.llm import (
+    decontamination, language_id, lexical_search, line_dedup, lm_scoring, oracles, packing, quality_rules, sharding,
+    simhash, suffix_dedup, surrogates, token_counts, whitening,
+)
 from workload.registry import query
 
 #: Folder of the public vocabulary files; the driver reads them and sends them on.
@@ -27,6 +30,13 @@ DOCUMENTS = T.StructType(
     ]
 )
 BENCHMARK = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("text", T.StringType())])
+EMBEDDINGS = T.StructType(
+    [
+        T.StructField("vec_id", T.LongType()),
+        T.StructField("embedding", T.ArrayType(T.FloatType())),
+        T.StructField("label", T.IntegerType()),
+    ]
+)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,3 +114,21 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal data replaced by surrogates."""
     return surrogates.summary(documents(spark, sf_dir), key=SURROGATE_KEY)
+
+
+@query("op11_lexical_search", oracles.LEXICAL_SEARCH)
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return lexical_search.search(documents(spark, sf_dir), benchmark(spark, sf_dir), k=20)
+
+
+@query("op12_whitening")
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the four main axes, whitened."""
+    return whitening.whiten(spark.read.schema(EMBEDDINGS).parquet(f"{sf_dir}/embeddings.parquet"), components=4)
+
+
+@query("op13_lm_scoring")
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under a model of four fifths of them."""
+    return lm_scoring.score_held_out(documents(spark, sf_dir), order=3)
