@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from gridtally.llm.store import stored
 
 #: Tokens a batch holds at least, but for the last of a task; a text is never split.
-BATCH_TOKENS = 1 << 21
+BATCH_TOKENS = 1 << 20
 #: n-grams a hash range holds, on average, at most.
 RANGE_KEYS = 1 << 20
 #: Rounds of expectation-maximisation at most, and the change of a weight that ends it.

@@ -131,4 +131,4 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_lm_scoring")
 def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probability of every document under a model of four fifths of them."""
-    return lm_scoring.score_held_out(documents(spark, sf_dir), order=3)
+    return lm_scoring.score_held_out(documents(spark, sf_dir), order=2)
