@@ -21,6 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +49,16 @@ _ASKED = "range int, batch long, keys binary, retained binary, deleted binary"
 _COUNTED = "range int, batch long, retained binary, deleted binary, n_words long, n_tokens long, n_retained long"
 
 
+def _squeezed(numbers: np.ndarray) -> bytes:
+    """64-bit numbers byte by byte, all first bytes before all second ones: those of small numbers shrink to nothing."""
+    return zstandard.compress(numbers.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def _opened(squeezed: bytes, kind=np.int64) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(squeezed), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view(kind).ravel()
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -69,7 +80,7 @@ def _tokenized(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokens = np.concatenate(places).tobytes()
         return pd.DataFrame({
             "batch": [number], "docs": [docs], "parts": [bytes(parts)], "sizes": [np.array(sizes, np.int64).tobytes()],
-            "words": [words.tobytes()], "places": [tokens], "n_tokens": [held],
+            "words": [words.tobytes()], "places": [zstandard.compress(tokens, 1)], "n_tokens": [held],
             "n_retained_docs": [parts.count(RETAINED)], "n_deleted_docs": [parts.count(DELETED)],
         })
 
@@ -99,7 +110,7 @@ class _Batch:
         self.sizes = np.frombuffer(row.sizes, np.int64)
         self.parts = np.frombuffer(row.parts, np.uint8)
         words = np.append(np.frombuffer(row.words, np.uint64), _END)
-        tokens = words[np.frombuffer(row.places, np.int32)]
+        tokens = words[np.frombuffer(zstandard.decompress(row.places), np.int32)]
         self.first = np.cumsum(self.sizes) - self.sizes
         self.part = np.repeat(self.parts, self.sizes)
         self.at = np.arange(len(tokens)) - np.repeat(self.first, self.sizes)  # place in the document
@@ -130,7 +141,7 @@ class _Batch:
         cuts = np.searchsorted(keys, np.array([k * width for k in range(1, ranges)], np.uint64))
         cuts = [0, *cuts.tolist(), len(keys)]
         return [
-            (k, keys[a:b].tobytes(), retained[a:b].tobytes(), deleted[a:b].tobytes())
+            (k, _squeezed(np.diff(keys[a:b], prepend=np.uint64(0))), _squeezed(retained[a:b]), _squeezed(deleted[a:b]))
             for k, (a, b) in enumerate(zip(cuts, cuts[1:]))
             if b > a
         ]
@@ -138,8 +149,7 @@ class _Batch:
     def counted(self, answers: pd.DataFrame) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Counts of every token's n-grams by order, in all training documents and in the retained ones."""
         answers = answers.sort_values("range")
-        retained = np.frombuffer(b"".join(answers["retained"]), np.int64)
-        deleted = np.frombuffer(b"".join(answers["deleted"]), np.int64)
+        retained, deleted = (np.concatenate([_opened(x) for x in answers[part]]) for part in ("retained", "deleted"))
         order, new = self.distinct()
         which = np.empty(len(order), np.int64)
         which[order] = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(order))))
@@ -184,18 +194,18 @@ def _ask(ranges: int, order: int):
 
 def _answer(asked: pd.DataFrame) -> pd.DataFrame:
     """Counts of one hash range, added up over all batches and dealt out to each in the order it asked."""
-    keys = np.frombuffer(b"".join(asked["keys"]), np.uint64)
-    sizes = [len(k) // 8 for k in asked["keys"]]
+    keys = [np.cumsum(_opened(k, np.uint64), dtype=np.uint64) for k in asked["keys"]]
+    sizes, keys = [len(k) for k in keys], np.concatenate(keys)
     order = np.argsort(keys, kind="stable")
     new = np.flatnonzero(np.r_[True, keys[order][1:] != keys[order][:-1]])
     times = np.diff(np.append(new, len(keys)))
     word = keys[order[new]] & _ORDER_BITS == 1
     sums, out = [], {"range": asked["range"], "batch": asked["batch"]}
     for part in ("retained", "deleted"):
-        total = np.add.reduceat(np.frombuffer(b"".join(asked[part]), np.int64)[order], new)
+        total = np.add.reduceat(np.concatenate([_opened(x) for x in asked[part]])[order], new)
         spread = np.empty(len(keys), np.int64)
         spread[order] = np.repeat(total, times)
-        out[part] = [x.tobytes() for x in np.split(spread, np.cumsum(sizes)[:-1])]
+        out[part] = [_squeezed(x) for x in np.split(spread, np.cumsum(sizes)[:-1])]
         sums.append(total)
     # What the range knows of all words stands on its first row.
     first = np.arange(len(asked)) == 0
