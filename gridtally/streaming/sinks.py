@@ -19,9 +19,10 @@ from gridtally.operators.grid import listen_day
 from gridtally.operators.keyed import fold_status_events, merge_status, schedule_rows
 from gridtally.operators.listens import history_rows, sum_deltas
 from gridtally.operators.rollups import KEYS, heatmap_hourly
-from gridtally.session import saved
+from gridtally.session import use_rocksdb_state
 from gridtally.sources.raw_files import RECORDS_PER_FILE, with_landing_hour
 from gridtally.sources.tables import append_delta, compact, current_history, read_deltas
+from gridtally.streaming import bloom_state, spacing_state
 
 # Flush intervals.
 LAND_EVERY, COUNT_EVERY = "60 seconds", "30 seconds"
@@ -56,7 +57,6 @@ STATUS_DELTA = T.StructType(
         T.StructField("created_at", T.TimestampType()),
     ]
 )
-_TOUCHED = "day date, at timestamp"
 HOURLY_DELTA = T.StructType(schemas.TIER_ROW.fields + [T.StructField("dt", T.DateType())])
 
 
@@ -91,13 +91,21 @@ def land_events(
     )
 
 
-def _each_batch(stream: DataFrame, write: Callable, checkpoint: str, every: str | None) -> StreamingQuery:
-    return (
-        stream.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**_trigger(every))
-        .start()
-    )
+def _each_batch(
+    stream: DataFrame, write: Callable, checkpoint: str, every: str | None, timers: bool = False
+) -> StreamingQuery:
+    """Start a stream that writes by micro-batch. One with processing-time timers would go on with empty
+    micro-batches for ever; where it is to stop after what is available, it runs none."""
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**_trigger(every))
+    if not timers:
+        return writer.start()
+    spark, setting = stream.sparkSession, "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(setting, "true")
+    spark.conf.set(setting, before if every else "false")
+    try:
+        return writer.outputMode("update").start()
+    finally:
+        spark.conf.set(setting, before)
 
 
 def upsert_history(listens: DataFrame, path: str, checkpoint: str, every: str | None = COUNT_EVERY) -> StreamingQuery:
@@ -149,108 +157,51 @@ def read_hourly_counts(spark: SparkSession, path: str, base: str | None = None,
 
 
 def count_with_bloom(
-    listens: DataFrame, counters: str, filters: str, checkpoint: str,
-    capacity: int = bloom.DAY_CAPACITY, every: str | None = COUNT_EVERY,
+    listens: DataFrame, counters: str, checkpoint: str, first_layer: int = bloom_state.FIRST_LAYER,
+    shares: int = bloom_state.SHARES, keep_days: float = bloom.KEEP_DAYS, every: str | None = COUNT_EVERY,
 ) -> StreamingQuery:
-    """Counters behind the approximate dedup: events that hit the stored filter are skipped.
+    """Counters behind the approximate dedup: events that hit the day's filter are skipped.
 
-    Each micro-batch reads the filter its predecessor left, and leaves the next one, of a size fixed
-    by ``capacity`` and the days kept. A micro-batch that runs again reads and writes the same
-    folders. A day beyond its planned capacity stops the stream. A day's filter is kept for KEEP_DAYS
-    after the last micro-batch that brought events of it, so a wrong date touches its own day only, and
-    a replay of old days is known as long as they keep coming in.
+    The filter is state: per day and share of its ids, layers of growing size and tightening error, so a day
+    may bring any number of ids. A day is remembered for ``keep_days`` after the last arrival of its
+    events, so a wrong date touches its own day only, and a replay of old days is known as long as they
+    keep coming in.
     """
+    use_rocksdb_state(listens.sparkSession)
+    fresh = bloom_state.fresh_events(listen_day(listens), first_layer, shares, keep_days)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        known = spark.read.schema(bloom.FILTER).parquet(f"{filters}/batch={batch_id - 1}") if batch_id else (
-            spark.createDataFrame([], bloom.FILTER)
-        )
-        fresh = saved(bloom.bloom_skip(batch, known, capacity), "fresh")
-        merged = bloom.merge_filters(known, bloom.build_filter(fresh, capacity))
-        touched = listen_day(batch).select("day", F.current_timestamp().alias("at"))
-        if batch_id:
-            touched = touched.unionByName(spark.read.schema(_TOUCHED).parquet(f"{filters}/days/batch={batch_id - 1}"))
-        alive = touched.groupBy("day").agg(F.max("at").alias("at")).filter(
-            F.col("at") > F.current_timestamp() - F.make_interval(days=F.lit(bloom.KEEP_DAYS))
-        )
-        alive.write.mode("overwrite").parquet(f"{filters}/days/batch={batch_id}")
-        alive = spark.read.schema(_TOUCHED).parquet(f"{filters}/days/batch={batch_id}")
-        recent = merged.join(alive, "day", "left_semi")
-        bloom.check_load(recent, capacity).write.mode("overwrite").parquet(f"{filters}/batch={batch_id}")
-        counts = fresh.groupBy("user_id", "day", "song_id").agg(F.count(F.lit(1)).alias("delta"))
+        counts = batch.groupBy("user_id", "day", "song_id").agg(F.count(F.lit(1)).alias("delta"))
         append_delta(counts.hint("rebalance", "day"), counters, batch_id, ["day"])
 
-    return _each_batch(listens, write, checkpoint, every)
+    return _each_batch(fresh, write, checkpoint, every, timers=True)
 
 
 def thin_events_stream(
     events: DataFrame, path: str, checkpoint: str, rate: float | None = None,
     keys: tuple[str, ...] = ("client_id", "screen_id"), time: str = "event_time", order: tuple[str, ...] = (),
-    forget: str = "1 day", every: str | None = COUNT_EVERY,
+    forget_ms: int | None = None, every: str | None = COUNT_EVERY,
 ) -> StreamingQuery:
     """Cap the event rate per (client, screen) across micro-batches; read with ``read_thinned``.
 
-    Events may arrive in any order; the result is that of ``thin_events`` over all of them. The last kept
-    time per key is handed from batch to batch, and later events go on from it. A key that brings events
-    not later than that is thinned again from the earliest of them on, with its stored events; a row under
-    ``redone`` voids what was kept of it from there before. A key that has brought no kept event for
-    ``forget`` of arrival time is dropped from the last kept times, whatever times its events carry; what
-    comes later is treated as new.
+    Events may arrive in any order; the result is that of ``thin_events`` over all of them. They are kept in
+    the state store, on disk, from where late ones are set beside their neighbours. With ``forget_ms`` a key
+    that has brought nothing for so long, by arrival, drops its events and keeps its last kept time only:
+    events that come later than that, but are of a time before it, are no longer kept. Order columns are
+    numbers, strings, times or booleans.
     """
+    use_rocksdb_state(events.sparkSession)
+    gap = spacing.gap_for_rate(rate)
+    verdicts = spacing_state.verdicts(events, list(keys), time, list(order), gap, forget_ms)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        times = [T.StructField(n, T.TimestampType()) for n in ("last_kept", "arrived")]
-        state = T.StructType([batch.schema[k] for k in keys] + times)
-        batch.filter(F.col(time).isNotNull()).write.mode("overwrite").parquet(f"{path}/events/batch={batch_id}")
-        rows = spark.read.schema(batch.schema).parquet(f"{path}/events/batch={batch_id}")
-        after = spark.read.schema(state).parquet(f"{path}/last/batch={batch_id - 1}") if batch_id else spark.createDataFrame([], state)
-
-        late = _beside(rows, after.select(*keys, F.col("last_kept").alias("_at")), keys).filter(F.col(time) <= F.col("_at"))
-        late.groupBy(*keys).agg(F.min(time).alias(time)).write.mode("overwrite").parquet(f"{path}/redone/batch={batch_id}")
-        redone = spark.read.schema(T.StructType([batch.schema[c] for c in (*keys, time)])).parquet(f"{path}/redone/batch={batch_id}")
-        lowest = redone.agg(F.min(F.unix_micros(time))).first()[0]
-        if lowest is not None:
-            since = redone.select(*keys, F.col(time).alias("_at"))
-            stored = read_deltas(spark, f"{path}/events", batch.schema).filter(F.col("batch") < batch_id)
-            stored = stored.filter(F.col(time) >= F.timestamp_micros(F.lit(lowest)))  # passes over older files
-            rows = rows.unionByName(_beside(stored, since, keys).filter(F.col(time) >= F.col("_at")).select(*batch.columns))
-            held = _beside(_thinned(spark, path, batch.schema, batch_id), since, keys).filter(F.col(time) < F.col("_at"))
-            held = held.groupBy(*keys).agg(F.max(time).alias("last_kept")).withColumn("arrived", F.current_timestamp())
-            after = saved(_beside(after, since, keys, "left_anti").unionByName(held), "after")
-
-        kept = spacing.keep_spaced(rows, list(keys), time, spacing.gap_for_rate(rate), list(order), after=after)
-        kept.write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
-        written = spark.read.schema(batch.schema).parquet(f"{path}/rows/batch={batch_id}")
-        seen = written.select(*keys, F.col(time).alias("last_kept"), F.current_timestamp().alias("arrived")).unionByName(after)
-        alive = seen.groupBy(*keys).agg(F.max("last_kept").alias("last_kept"), F.max("arrived").alias("arrived"))
-        alive = alive.filter(F.col("arrived") >= F.current_timestamp() - F.expr(f"INTERVAL {forget}"))
-        alive.write.mode("overwrite").parquet(f"{path}/last/batch={batch_id}")
-
-    return _each_batch(events, write, checkpoint, every)
-
-
-def _beside(rows: DataFrame, other: DataFrame, keys: tuple[str, ...], how: str = "inner") -> DataFrame:
-    """Rows next to those of ``other`` with the same key; an empty key is a key too."""
-    other = other.withColumnsRenamed({k: f"_of_{k}" for k in keys})
-    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
-    return rows.join(other, same, how).drop(*[f"_of_{k}" for k in keys])
-
+        append_delta(batch, path, batch_id, [])
 
-def _thinned(spark: SparkSession, path: str, schema: T.StructType, until: int | None = None) -> DataFrame:
-    """Kept rows of the micro-batches before ``until``, without those that a later one decided anew."""
-    rows, redone = read_deltas(spark, f"{path}/rows", schema), spark.read.parquet(f"{path}/redone")
-    if until is not None:
-        rows, redone = rows.filter(F.col("batch") < until), redone.filter(F.col("batch") < until)
-    *keys, time = [c for c in redone.columns if c != "batch"]
-    again = redone.select(*[F.col(k).alias(f"_of_{k}") for k in keys], F.col(time).alias("_at"), F.col("batch").alias("_again"))
-    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
-    return rows.join(again, [*same, F.col("batch") < F.col("_again"), F.col(time) >= F.col("_at")], "left_anti")
+    return _each_batch(verdicts, write, checkpoint, every, timers=True)
 
 
 def read_thinned(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return _thinned(spark, path, schema).drop("batch")
+    return spacing_state.kept_rows(read_deltas(spark, path, spacing_state.VERDICT), schema)
 
 
 def apply_status_stream(events: DataFrame, path: str, checkpoint: str, every: str | None = COUNT_EVERY) -> StreamingQuery:

@@ -1,15 +1,17 @@
 """Streaming forms over files that arrive one by one, with restarts and repeated micro-batches."""
 
+import random
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from gridtally import schemas
-from gridtally.operators import keyed, listens, rollups, spacing
+from gridtally.operators import bloom, keyed, listens, rollups, spacing
 from gridtally.plans import ingest_streams, listen_jobs
 from gridtally.sources import event_log, raw_files, tables
-from gridtally.streaming import sinks, streams
+from gridtally.streaming import bloom_state, sinks, spacing_state, streams
 from workload import views
 
 SF = "/root/testdata/sf0.001"
@@ -181,7 +183,7 @@ def test_landing_by_client_and_small_files(spark, path):
     assert len(files) >= 3 and all("client_id=c/dt=2024-01-01/hour=05" in f for f in files)
 
 
-def test_thinning_goes_on_across_micro_batches(spark, path):
+def test_thinning_goes_on_across_micro_batches(spark, path, few_tasks):
     fast = F.timestamp_micros(F.expr("unix_micros(event_time) div 36000")).alias("event_time")
     moves = views.raw_events(spark, SF).select("client_id", "screen_id", fast, "event_id")
     for _ in _arrive(_timed(moves, "event_time"), path("in"), "event_time", parts=5):
@@ -192,7 +194,7 @@ def test_thinning_goes_on_across_micro_batches(spark, path):
     assert _rows(sinks.read_thinned(spark, path("out"), moves.schema)) == _rows(expected)
 
 
-def test_thinning_takes_late_events_in(spark, path):
+def test_thinning_takes_late_events_in(spark, path, few_tasks):
     """Files out of time order, ties and a far time: the same rows as from all events at once."""
     at = datetime(2024, 1, 10)
     schema = "client_id string, screen_id string, event_time timestamp, event_id long"
@@ -213,7 +215,7 @@ def test_thinning_takes_late_events_in(spark, path):
     assert _rows(sinks.read_thinned(spark, path("out"), everything.schema)) == _rows(expected)
 
 
-def test_bloom_counters_across_micro_batches(spark, path):
+def test_bloom_counters_across_micro_batches(spark, path, few_tasks):
     rows = _timed(views.listens_replayed(spark, SF), "listened_at")
     # every file arrives twice, so the second copy has to be caught by the stored filter
     for n, _ in enumerate(_arrive(rows, path("in"), "listened_at")):
@@ -221,20 +223,45 @@ def test_bloom_counters_across_micro_batches(spark, path):
     for n in range(3):
         spark.read.schema(schemas.LISTEN_EVENT).parquet(path(f"copy{n}")).coalesce(1).write.mode("append").parquet(path("replay"))
         source = event_log.read_file_stream(spark, path("replay"), schemas.LISTEN_EVENT)
-        _run(sinks.count_with_bloom(source, path("counters"), path("filters"), path("cp"), 10_000, every=None))
-    # filters are kept by arrival, so replays of any day are known
-    days = spark.read.parquet(path("filters") + "/batch=2").select("day").distinct().count()
-    assert days == 30
+        _run(sinks.count_with_bloom(source, path("counters"), path("cp"), shares=4, every=None))
     expected = listens.daily_song_counts(views.listens_replayed(spark, SF))
     stored = sinks.read_counters(spark, path("counters")).select(expected.columns)
     assert _rows(stored) == _rows(expected)
 
 
-def test_bloom_counters_stop_when_a_day_is_too_full(spark, path):
-    views.listens(spark, SF).coalesce(1).write.parquet(path("in"))
-    source = event_log.read_file_stream(spark, path("in"), schemas.LISTEN_EVENT)
-    with pytest.raises(Exception, match="over capacity"):
-        _run(sinks.count_with_bloom(source, path("counters"), path("filters"), path("cp"), 10, every=None))
+def test_bloom_counters_grow_with_their_day(spark, path, few_tasks):
+    """Forty times a first layer's ids in one day, each sent twice: never too many, hardly too few."""
+    first, shares, n = 64, 2, 5120
+    for part in range(4):
+        rows = spark.range(n).filter(f"id % 2 = {part % 2}").selectExpr(
+            "concat('e', id) AS event_id", "'u' AS user_id", "concat('s', id % 7) AS song_id", "'p' AS provider", "1704067200L + id % 1000 AS listened_at"
+        )
+        rows.coalesce(1).write.mode("append").parquet(path("in"))
+        source = event_log.read_file_stream(spark, path("in"), schemas.LISTEN_EVENT)
+        _run(sinks.count_with_bloom(source, path("counters"), path("cp"), first, shares, every=None))
+    counted = sinks.read_counters(spark, path("counters")).agg(F.sum("listen_count")).first()[0]
+    assert n * (1 - 2 * bloom.ERROR_RATE) <= counted <= n
+
+
+def test_layers_keep_their_error_as_they_grow():
+    rng = np.random.default_rng(4)
+    ids = rng.integers(0, 1 << 63, 20 * 1000, dtype=np.uint64)
+    layers, left = [], ids
+    while len(left):
+        layers.append(bloom_state.Layer(len(layers), 1000))
+        layers[-1].add(left[: layers[-1].capacity])
+        left = left[layers[-1].capacity :]
+    held = lambda x: np.logical_or.reduce([layer.holds(x) for layer in layers])
+    assert len(layers) == 5 and held(ids).all()
+    assert held(rng.integers(0, 1 << 63, 200_000, dtype=np.uint64)).mean() <= bloom.ERROR_RATE
+
+
+def test_bloom_counters_forget_an_idle_day(spark, path, few_tasks):
+    _in_turn(
+        spark, [PARTS[0], PARTS[0]], path("in"), schemas.LISTEN_EVENT,
+        lambda s: sinks.count_with_bloom(s, path("counters"), path("cp"), shares=1, keep_days=1e-9, every=None),
+    )
+    assert sum(r.listen_count for r in sinks.read_counters(spark, path("counters")).collect()) in (5, 10)
 
 
 def test_crash_after_the_write_does_not_count_twice(spark, path, monkeypatch):
@@ -263,6 +290,22 @@ def _in_turn(spark, parts, folder, schema, run):
         _run(run(event_log.read_file_stream(spark, folder, schema)))
 
 
+@pytest.fixture
+def few_tasks(spark):
+    """State operators start Python workers in every task of every micro-batch."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def _in_batches(spark, parts, folder, schema, run):
+    """Each part is a micro-batch of one run."""
+    for rows in parts:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+    _run(run(event_log.read_file_stream(spark, folder, schema, files_per_batch=1)))
+
+
 def _listen(number, day, song="s"):
     return (f"e{number}", "u", song, "p", int((datetime(2024, 1, day) - datetime(1970, 1, 1)).total_seconds()))
 
@@ -286,10 +329,10 @@ def test_event_dedup_loses_and_repeats_nothing(spark, path):
     assert sum(r.listen_count for r in sinks.read_counters(spark, path("counters")).collect()) == 13
 
 
-def test_bloom_counters_know_replays_of_any_day(spark, path):
+def test_bloom_counters_know_replays_of_any_day(spark, path, few_tasks):
     _in_turn(
         spark, PARTS, path("in"), schemas.LISTEN_EVENT,
-        lambda s: sinks.count_with_bloom(s, path("counters"), path("filters"), path("cp"), capacity=1000, every=None),
+        lambda s: sinks.count_with_bloom(s, path("counters"), path("cp"), shares=2, every=None),
     )
     assert sum(r.listen_count for r in sinks.read_counters(spark, path("counters")).collect()) == 13
 
@@ -307,7 +350,7 @@ def test_batch_dedup_keeps_batches_of_any_time(spark, path):
     assert sorted(r.batch_id for r in spark.read.parquet(path("out")).collect()) == ["", "", "b1", "b2", "b3"]
 
 
-def test_thinning_with_idle_new_and_odd_keys(spark, path):
+def test_thinning_with_idle_new_and_odd_keys(spark, path, few_tasks):
     at = datetime(2024, 1, 10)
     schema = "client_id string, screen_id string, event_time timestamp, event_id long"
     row = lambda screen, seconds, n: ("c", screen, at + timedelta(seconds=seconds), n)
@@ -332,3 +375,58 @@ def test_the_later_of_two_versions_in_one_micro_batch_wins(spark, path):
         source = event_log.read_file_stream(spark, path(f"in-{name}"), schemas.LISTEN_EVENT)
         _run(sinks.upsert_history(source, path(name), path(f"cp-{name}"), every=None))
         assert [r.song_id for r in sinks.read_history(spark, path(name)).collect()] == [rows[-1]]
+
+
+@pytest.mark.parametrize("leaf", [4, 4096])
+def test_thinning_equals_brute_force_whatever_the_order_of_arrival(spark, path, few_tasks, monkeypatch, leaf):
+    """Dense and sparse keys, ties, late events and times before 1970, in leaves of any size."""
+    monkeypatch.setattr(spacing_state, "LEAF_EVENTS", leaf)
+    rng = random.Random(leaf)
+    base = datetime(1970, 1, 1)
+    schema = "client_id string, screen_id string, event_time timestamp, event_id long, note double"
+    rows = [
+        ("c" if rng.random() < 0.8 else None, rng.choice(["a", "a", "b"]), base + timedelta(milliseconds=100 * rng.randint(-300, 300)), n, rng.choice([None, 0.1, 1e300]))
+        for n in range(400)
+    ]
+    expected = []
+    for key in {r[:2] for r in rows}:
+        last = None
+        for r in sorted((r for r in rows if r[:2] == key), key=lambda r: (r[2], r[3])):
+            if last is None or r[2] - last >= timedelta(seconds=1):
+                expected.append(r[3])
+                last = r[2]
+    parts = [rows[k::5] for k in range(5)] + [[("c", "a", None, 999, None)]]
+    _in_batches(
+        spark, parts, path("in"), schema,
+        lambda s: sinks.thin_events_stream(s, path("out"), path("cp"), rate=1, order=("event_id",), every=None),
+    )
+    out = sinks.read_thinned(spark, path("out"), spark.createDataFrame([], schema).schema).collect()
+    assert sorted(r.event_id for r in out) == sorted(expected)
+    by_id = {r[3]: r for r in rows}
+    assert all(tuple(r) == by_id[r.event_id] for r in out)
+
+
+def test_spacing_from_every_last_kept_time():
+    rng = random.Random(1)
+    for _ in range(300):
+        at = sorted(rng.randint(0, 60) for _ in range(rng.randint(0, 25)))
+        for last in range(-12, 70):
+            kept, leave = spacing_state.spaced(at, 10, last)
+            plain, here = [], last
+            for k, t in enumerate(at):
+                if t >= here + 10:
+                    plain.append(k)
+                    here = t
+            assert np.flatnonzero(kept).tolist() == plain and leave == here
+
+
+def test_a_forgotten_key_keeps_its_last_kept_time(spark, path, few_tasks):
+    at = datetime(2024, 1, 10)
+    schema = "client_id string, screen_id string, event_time timestamp, event_id long"
+    row = lambda seconds, n: ("c", "a", at + timedelta(seconds=seconds), n)
+    _in_turn(
+        spark, [[row(0, 1), row(5, 2)], [("c", "z", at, 3)], [row(5.5, 4), row(6, 5), row(2, 6)]], path("in"), schema,
+        lambda s: sinks.thin_events_stream(s, path("out"), path("cp"), rate=1, order=("event_id",), forget_ms=1, every=None),
+    )
+    out = sinks.read_thinned(spark, path("out"), spark.createDataFrame([], schema).schema)
+    assert {1, 2, 3, 5} <= {r.event_id for r in out.collect()} <= {1, 2, 3, 5, 6}

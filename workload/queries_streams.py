@@ -169,5 +169,5 @@ def _(spark, d):
     """Counters behind the Bloom filter, which at its planned size makes no mistake on this data."""
     counters = work_path(spark, "counters")
     rows = _replayed(spark, d)
-    _finish(sinks.count_with_bloom(rows, counters, work_path(spark, "bloom"), work_path(spark, "cp"), every=None))
+    _finish(sinks.count_with_bloom(rows, counters, work_path(spark, "cp"), every=None))
     return sinks.read_counters(spark, counters)
