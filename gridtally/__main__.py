@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 
+from gridtally.operators.rollups import RETENTION_DAYS
 from gridtally.plans import heatmap_jobs, listen_jobs
 from gridtally.session import build_session
 from gridtally.sources import raw_files
@@ -29,9 +30,10 @@ def _parser() -> argparse.ArgumentParser:
     job("daily", "dt", "hourly-table", "daily-table")
     job("weekly", "week-start", "daily-table", "weekly-table")
     raw(job("backfill", "first", "last", "hourly-table", "daily-table", "weekly-table"))
-    late = job("late", "run-start", "run-end", "hourly-table", "daily-table", "weekly-table")
-    raw(late)
-    late.add_argument("--lookback-days", type=int)
+    raw(job("late", "run-start", "run-end", "hourly-table", "daily-table", "weekly-table"))
+    expire = job("expire", "as-of")
+    for name in RETENTION_DAYS:
+        expire.add_argument(f"--{name}-table", help=f"rows are kept for {RETENTION_DAYS[name]} days")
     topk = job("topk", "counters", "as-of", "output")
     topk.add_argument("--days")
     topk.add_argument("--k")
@@ -48,6 +50,9 @@ def main(argv: list[str] | None = None) -> None:
         heatmap_jobs.daily_job(spark, args.hourly_table, args.daily_table, args.dt)
     elif args.job == "weekly":
         heatmap_jobs.weekly_job(spark, args.daily_table, args.weekly_table, args.week_start)
+    elif args.job == "expire":
+        given = {name: getattr(args, f"{name}_table") for name in RETENTION_DAYS}
+        heatmap_jobs.expire_job(spark, {name: path for name, path in given.items() if path}, args.as_of)
     elif args.job == "topk":
         ranked = listen_jobs.serve_topk(spark, args.counters, args.as_of, args.days, args.k)
         ranked.write.mode("overwrite").parquet(args.output)
@@ -56,7 +61,7 @@ def main(argv: list[str] | None = None) -> None:
         if args.job == "backfill":
             heatmap_jobs.backfill_job(*places, args.first, args.last, args.format)
         else:
-            heatmap_jobs.late_job(*places, args.run_start, args.run_end, args.lookback_days, args.format)
+            heatmap_jobs.late_job(*places, args.run_start, args.run_end, args.format)
 
 
 if __name__ == "__main__":

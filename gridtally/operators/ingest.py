@@ -8,9 +8,9 @@ from pyspark.sql import types as T
 
 from gridtally.functions import is_blank, is_rfc3339, strip_blanks, utc_text, whole_number
 
-# Batch size limit and the shape of a safe id.
+# Batch size limit and the characters and length of a safe id.
 MAX_BATCH_EVENTS = 5000
-SAFE_ID = r"^[a-zA-Z0-9_.\-]{1,128}\z"
+SAFE_ID = r"[a-zA-Z0-9_\-\.]{1,128}"
 
 
 def _event_fault(event: Column) -> Column:
@@ -97,10 +97,13 @@ def coerce_cells(rows: DataFrame) -> DataFrame:
 
 
 def valid_ids(requests: DataFrame, columns: tuple[str, ...] = ("client_id", "screen_id")) -> DataFrame:
-    """Trim the id columns and add ``error``: the first id that is not safe, else NULL."""
+    """Trim the id columns and add ``error``: the first id that is not safe, else NULL.
+
+    The pattern ends at the very end of the id, since ``$`` would let a last line feed pass.
+    """
     trimmed = requests.withColumns({name: strip_blanks(F.col(name)) for name in columns})
     checks = [
-        F.when(~F.coalesce(F.col(name).rlike(SAFE_ID), F.lit(False)), f"invalid_{name}")
+        F.when(~F.coalesce(F.col(name).rlike(rf"^{SAFE_ID}\z"), F.lit(False)), f"invalid_{name}")
         for name in columns
     ]
     return trimmed.withColumn("error", F.coalesce(*checks))

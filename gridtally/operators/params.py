@@ -16,7 +16,7 @@ DEFAULT_K, MAX_K = 10, 100
 
 def safe_id(value: str, name: str) -> str:
     value = (value or "").strip()
-    if not re.match(SAFE_ID.replace(r"\z", r"\Z"), value):
+    if not re.fullmatch(SAFE_ID, value):
         raise ValueError(f"invalid_{name}")
     return value
 

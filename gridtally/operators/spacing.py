@@ -40,13 +40,11 @@ def thin_events(
 
 
 def keep_spaced(
-    df: DataFrame, keys: list[str], time: str, gap_us: int, order: list[str], chunk_us: int | None = None,
-    after: DataFrame | None = None,
+    df: DataFrame, keys: list[str], time: str, gap_us: int, order: list[str], chunk_us: int | None = None
 ) -> DataFrame:
     """Rows at least ``gap_us`` after the last kept row of the same key; the first one is kept.
 
-    ``order`` settles rows of equal time. Rows without a time are never kept. ``after`` (keys and
-    ``last_kept``, a row per key) carries on from rows kept earlier. A chunk must not be shorter
+    ``order`` settles rows of equal time. Rows without a time are never kept. A chunk must not be shorter
     than the gap; the more rows a key has, the shorter its chunks should be.
     """
     chunk_us = max(chunk_us or CHUNK_US, gap_us)
@@ -71,12 +69,7 @@ def keep_spaced(
 
     times = marked(chunked.select(*group, "_at"), []).select(*group, "_at", "_first")
     steps = times.mapInArrow(_chunk_steps(gap_us, chunk_us), step_schema)
-    follow = _follow(keys, gap_us, chunk_us)
-    if after is None:
-        enters = steps.groupBy(*keys).applyInPandas(lambda rows: follow(rows, None), enter_schema)
-    else:
-        earlier = after.select(*keys, F.unix_micros("last_kept").alias("_last"))
-        enters = steps.groupBy(*keys).cogroup(earlier.groupBy(*keys)).applyInPandas(follow, enter_schema)
+    enters = steps.groupBy(*keys).applyInPandas(_follow(keys, gap_us, chunk_us), enter_schema)
 
     markers = enters.withColumn("_at", F.lit(-1).cast("bigint"))
     entered = chunked.withColumn("_enter", F.lit(None).cast("bigint")).unionByName(markers, allowMissingColumns=True)
@@ -159,17 +152,15 @@ def _chunk_steps(gap_us: int, chunk_us: int):
 
 
 def _follow(keys: list[str], gap_us: int, chunk_us: int):
-    def run(steps, earlier):
+    def run(steps):
         import numpy as np
         import pandas as pd
 
-        if steps.empty:  # a remembered key without rows of its own; columns keep their types
-            return steps[keys].assign(_chunk=pd.Series(dtype="int64"), _enter=pd.Series(dtype="int64"))
         steps = steps.sort_values(["_chunk", "_start"], kind="stable")
         chunk, start, leave = (steps[c].to_numpy() for c in ("_chunk", "_start", "_leave"))
         bounds = np.append(np.flatnonzero(np.diff(chunk, prepend=chunk[0] - 1)), len(chunk))
         out_chunk, out_enter = [], []
-        last = None if earlier is None or earlier.empty else int(earlier["_last"].max())
+        last = None
         for low, high in zip(bounds[:-1], bounds[1:]):
             base = int(chunk[low]) * chunk_us
             place = low

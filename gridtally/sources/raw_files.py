@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,11 +10,9 @@ from gridtally.functions import as_instant
 from gridtally.operators import params
 from gridtally.sources import files
 
-# Default folders under the bucket and the size of one landed file.
+# Default folders under the bucket.
 TOPIC = "heatmap.events.raw"
 JSON_FOLDER, PARQUET_FOLDER = "topics", "topics-parquet"
-RECORDS_PER_FILE = 5000
-MANY_DAYS = 1000
 
 
 def raw_base(bucket: str, file_format: str = "json", folder: str = JSON_FOLDER, topic: str = TOPIC) -> str:
@@ -71,13 +67,33 @@ def read_bucket_partition(spark: SparkSession, base: str, dt, hour, file_format:
 def read_bucket_range(spark: SparkSession, base: str, first, last, file_format: str = "json") -> DataFrame:
     """All hour folders from day ``first`` to day ``last``, both included."""
     low, high = params.day(first), params.day(last)
-    span = (high - low).days + 1
-    # Beyond some years, finding out which days exist costs more than listing them all.
-    days = [f"dt={low + timedelta(days=n)}" for n in range(span)] if span <= MANY_DAYS else None
-    rows = _load(spark, base, file_format, days)
+    there = files.children(spark, base)
+    days = [name for name in there if f"dt={low}" <= name <= f"dt={high}"]
+    # Days may lie below other folders (by client); then the whole tree is listed.
+    by_day = not any("=" in name and not name.startswith("dt=") for name in there)
+    rows = _load(spark, base, file_format, days if by_day else None)
     return rows.filter(F.col("dt").between(F.lit(low), F.lit(high)))
 
 
+def read_files_since(spark: SparkSession, base: str, since, file_format: str = "json") -> DataFrame:
+    """All landed events of files that were written at ``since`` or later.
+
+    An event cannot have been received after its file was written, so whatever arrived from ``since`` on is
+    among them. The condition is on the file's own time, so older files are listed but not opened.
+    """
+    rows = _load(spark, base, file_format)
+    return rows.filter(F.col("_metadata.file_modification_time") >= F.lit(str(since)).cast("timestamp"))
+
+
+def at_folder_hour(raw: DataFrame) -> DataFrame:
+    """Landed events whose time is the hour of their folder, which is what they count for.
+
+    So an event whose own time does not parse, or is of another hour, counts alike in every job.
+    """
+    start = F.make_timestamp(F.year("dt"), F.month("dt"), F.dayofmonth("dt"), F.col("hour"), F.lit(0), F.lit(0))
+    return raw.withColumn("event_time", start)
+
+
 def with_landing_hour(events: DataFrame) -> DataFrame:
     """Add the folder columns dt and hour from the event time."""
     instant = as_instant(F.col("event_time"), events.schema["event_time"].dataType.simpleString())

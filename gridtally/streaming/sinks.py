@@ -6,6 +6,7 @@ runs twice overwrites its own folder, so a restart never counts twice.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,8 @@ from gridtally.operators.keyed import fold_status_events, merge_status, schedule
 from gridtally.operators.listens import history_rows, sum_deltas
 from gridtally.operators.rollups import KEYS, heatmap_hourly
 from gridtally.session import use_rocksdb_state
-from gridtally.sources.raw_files import RECORDS_PER_FILE, with_landing_hour
+from gridtally.sources import files
+from gridtally.sources.raw_files import with_landing_hour
 from gridtally.sources.tables import append_delta, compact, current_history, read_deltas
 from gridtally.streaming import bloom_state, spacing_state
 
@@ -67,28 +69,30 @@ def _trigger(every: str | None) -> dict:
 
 def land_events(
     raw: DataFrame, base: str, checkpoint: str, file_format: str = "json", every: str | None = LAND_EVERY,
-    by_client: bool = False, records_per_file: int = RECORDS_PER_FILE, hour_writers: int | None = None,
+    by_client: bool = False, records_per_file: int = 0,
 ) -> StreamingQuery:
-    """Stream of raw events → immutable files by event hour (UTC) of limited length.
+    """Stream of raw events → immutable files by event hour (UTC), which plain folder reads find.
 
-    Straight from a source no shuffle is needed: every task writes the hours it holds, which for
-    live traffic is one or two. After a shuffle every task holds a bit of every hour; then
-    ``hour_writers`` gathers each hour in that many tasks, by hash, so that files do not multiply.
+    A micro-batch gathers each hour in few files, of a size that AQE sets by bytes; an hour too big for one task is
+    split. ``records_per_file`` limits files by rows as well. Files are written aside first; a marker says
+    that all are there, and then each is moved into its folder. A micro-batch that runs again writes nothing
+    that its marker stands for, and moves what is left: no reader sees an unfinished file, or one twice.
     """
     folders = (["client_id"] if by_client else []) + ["dt", "hour"]
-    placed = with_landing_hour(raw)
-    if hour_writers:
-        share = F.pmod(F.xxhash64("client_id", "screen_id", "event_time"), F.lit(hour_writers))
-        placed = placed.withColumn("_share", share).repartition("dt", "hour", "_share").drop("_share")
-    writer = placed.writeStream.format(file_format).partitionBy(*folders)
-    return (
-        writer.option("path", base)
-        .option("checkpointLocation", checkpoint)
-        .option("maxRecordsPerFile", records_per_file)
-        .option("compression", "snappy" if file_format == "parquet" else "none")
-        .trigger(**_trigger(every))
-        .start()
-    )
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, name = batch.sparkSession, f"{run}-{batch_id:09d}"
+        staged, whole = f"{base}/_staged/{name}", f"{base}/_landed/{name}"
+        if not files.existing(spark, [whole]):
+            rows = with_landing_hour(batch).hint("rebalance", *folders)
+            writer = rows.write.mode("overwrite").partitionBy(*folders).format(file_format)
+            writer = writer.option("compression", "snappy" if file_format == "parquet" else "none")
+            writer.option("maxRecordsPerFile", records_per_file).save(staged)
+            files.mark(spark, whole)
+        files.move_in(spark, staged, base, name)
+
+    return _each_batch(raw, write, checkpoint, every)
 
 
 def _each_batch(

@@ -210,7 +210,7 @@ def test_late_job_touches_only_what_it_must(spark, path):
     heatmap_jobs.backfill_job(spark, base, *places, "2024-01-01", "2024-01-09")
     untouched = _files_of(spark, places[0], "2024-01-02")
     raw_files.land_batch(raw.filter(late & in_run), base)
-    hours = heatmap_jobs.late_job(spark, base, *places, *run, lookback_days=2)
+    hours = heatmap_jobs.late_job(spark, base, *places, *run)
     assert hours and all(run[0][:10] == h[:10] for h in hours)
     whole = rollups.heatmap_hourly(raw)
     assert _key(tables.read_tier(spark, places[0], "hourly")) == _key(whole)
@@ -278,3 +278,71 @@ def test_the_hourly_job_counts_every_row_of_its_folder(spark, path):
     spark.createDataFrame(rows, names).coalesce(1).write.json(path("raw") + "/dt=2024-01-02/hour=07")
     heatmap_jobs.hourly_job(spark, path("raw"), path("tier"), "2024-01-02", "07")
     assert [(str(r.bucket_start), r["count"]) for r in tables.read_tier(spark, path("tier"), "hourly").collect()] == [("2024-01-02 07:00:00", 2)]
+
+
+def test_hourly_late_and_backfill_jobs_count_the_same(spark, path):
+    """Events whose time does not parse, or is of another hour, count for their folder in each of the jobs."""
+    times = ("2024-01-02T07:10:00Z", "not a time", None, "2024-01-05T01:00:00Z")
+    rows = [("c", "s", "b", t, 0.5, 0.5, "mousemove", "2024-01-02T09:30:00Z") for t in times]
+    spark.createDataFrame(rows, schemas.RAW_EVENT).coalesce(1).write.json(path("raw") + "/dt=2024-01-02/hour=07")
+    counted = lambda name: [(str(r.bucket_start), r["count"]) for r in tables.read_tier(spark, path(name), "hourly").collect()]
+    heatmap_jobs.hourly_job(spark, path("raw"), path("h1"), "2024-01-02", "07")
+    heatmap_jobs.backfill_job(spark, path("raw"), path("h2"), path("d2"), path("w2"), "2024-01-01", "2024-01-03")
+    tables.write_tier(spark.createDataFrame([], schemas.TIER_ROW), path("h3"), "hourly")
+    tables.write_tier(spark.createDataFrame([], schemas.TIER_ROW), path("d3"), "daily")
+    touched = heatmap_jobs.late_job(
+        spark, path("raw"), path("h3"), path("d3"), path("w3"), "2024-01-02 09:00:00", "2024-01-02 10:00:00"
+    )
+    assert touched == ["2024-01-02 07:00:00"]
+    assert counted("h1") == counted("h2") == counted("h3") == [("2024-01-02 07:00:00", 4)]
+
+
+def test_late_job_opens_only_files_of_its_window(spark, path):
+    """An old file that cannot be read is no matter, however old the hour is that a late event reaches."""
+    event = lambda t, r: ("c", "s", "b", t, 0.5, 0.5, "mousemove", r)
+    raw_files.land_batch(
+        spark.createDataFrame([event("2020-06-01T05:10:00Z", "2024-01-02T09:30:00Z")], schemas.RAW_EVENT), path("raw"), "parquet"
+    )
+    os.makedirs(path("raw") + "/dt=2024-01-01/hour=03")
+    broken = path("raw") + "/dt=2024-01-01/hour=03/part-0.parquet"
+    with open(broken, "w") as file:
+        file.write("not parquet")
+    os.utime(broken, (1_704_000_000, 1_704_000_000))  # 2023-12-31
+    for name, tier in (("h", "hourly"), ("d", "daily")):
+        tables.write_tier(spark.createDataFrame([], schemas.TIER_ROW), path(name), tier)
+    run = ("2024-01-02 09:00:00", "2024-01-02 10:00:00")
+    hours = heatmap_jobs.late_job(spark, path("raw"), path("h"), path("d"), path("w"), *run, "parquet")
+    assert hours == ["2020-06-01 05:00:00"]
+    assert tables.read_tier(spark, path("w"), "weekly").first()["count"] == 1
+
+
+def test_expired_folders_are_deleted(spark, path):
+    """Folders past their retention go, those at its limit stay; a second run finds nothing."""
+    paths = {name: path(name) for name in rollups.RETENTION_DAYS}
+    as_of = datetime(2024, 6, 30)
+    for name, keep in rollups.RETENTION_DAYS.items():
+        for age in (0, keep, keep + 1, keep + 400):
+            day = (as_of - timedelta(days=age)).date()
+            if name in tables.TIER_FOLDERS:
+                row = ("c", "s", datetime(day.year, day.month, day.day), 0, 0, 1)
+                tables.write_tier(spark.createDataFrame([row], schemas.TIER_ROW), paths[name], name)
+            else:
+                rows = spark.createDataFrame([("u", day)], "user_id string, day date")
+                tables.append_delta(rows, paths[name], age, ["day"])
+    removed = heatmap_jobs.expire_job(spark, paths, as_of)
+    assert {name: len(folders) for name, folders in removed.items()} == dict.fromkeys(paths, 2)
+    assert tables.read_tier(spark, paths["hourly"], "hourly").count() == 2
+    assert tables.read_deltas(spark, paths["history"], spark.createDataFrame([], "user_id string, day date").schema).count() == 2
+    assert not any(heatmap_jobs.expire_job(spark, paths, "2024-06-30").values())
+
+
+def test_cells_of_part_of_the_buckets(spark, path):
+    from gridtally.operators import heatmap_queries
+
+    rows = [("c", s, datetime(2024, 1, 1, h), x, 0, n + 1) for n, (s, h, x) in enumerate((s, h, x) for s in "ab" for h in (1, 2) for x in (0, 1))]
+    tier = spark.createDataFrame(rows, schemas.TIER_ROW)
+    asked = spark.createDataFrame(
+        [("c", "a", datetime(2024, 1, 1, 2)), ("c", "b", datetime(2024, 1, 1, 3)), ("d", "a", datetime(2024, 1, 1, 1))],
+        "client_id string, screen_id string, bucket_start timestamp",
+    )
+    assert sorted(r["count"] for r in heatmap_queries.cells_for(tier, asked).collect()) == [3, 4]

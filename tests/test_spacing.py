@@ -92,20 +92,6 @@ def test_dedup_batches_random(spark):
     assert {r.id for r in dedup_batches(_ttl_batches(spark, rows), tie=("id",)).collect()} == expected
 
 
-@pytest.mark.parametrize("gap_us, chunk_us", [(16_667, 1_000_000), (100_000, 100_000)])
-def test_going_on_from_earlier_rows(spark, gap_us, chunk_us):
-    """Cut anywhere, the second half carries on as if there had been no cut; late rows are dropped."""
-    rows = _dense(random.Random(gap_us), 3000, 20_000_000)
-    frame, keys = _frame(spark, rows), ["client_id", "screen_id"]
-    cut = START + timedelta(microseconds=7_654_321)
-    args = (keys, "event_time", gap_us, ["id"], chunk_us)
-    first = spacing.keep_spaced(frame.filter(F.col("event_time") < cut), *args)
-    after = first.groupBy(*keys).agg(F.max("event_time").alias("last_kept"))
-    second = spacing.keep_spaced(frame.filter(F.col("event_time") >= cut), *args, after=after)
-    assert {r.id for r in first.collect()} | {r.id for r in second.collect()} == _greedy(rows, gap_us)
-    assert spacing.keep_spaced(frame.filter(F.col("event_time") < cut), *args, after=after).isEmpty()
-
-
 def test_a_group_longer_than_a_block(spark):
     frame = spark.range(1_200_000).selectExpr(
         "if(id < 1100000, 'a', 'b') AS client_id", "'s' AS screen_id",

@@ -1,5 +1,6 @@
 """Streaming forms over files that arrive one by one, with restarts and repeated micro-batches."""
 
+import pathlib
 import random
 from datetime import datetime, timedelta
 
@@ -178,11 +179,44 @@ def test_landing_by_client_and_small_files(spark, path):
     )
     rows.coalesce(1).write.parquet(path("in"))
     source = event_log.read_file_stream(spark, path("in"), schemas.RAW_EVENT)
-    _run(sinks.land_events(source, path("out"), path("cp"), "parquet", None, by_client=True))
+    _run(sinks.land_events(source, path("out"), path("cp"), "parquet", None, by_client=True, records_per_file=5000))
     files = spark.read.parquet(path("out")).inputFiles()
     assert len(files) >= 3 and all("client_id=c/dt=2024-01-01/hour=05" in f for f in files)
 
 
+def test_landing_survives_a_crash_between_its_steps(spark, path, monkeypatch):
+    """Dies after the marker with one file moved; rerun, every row is there once, in plain folders of few files."""
+    raw = spark.range(4000).selectExpr(
+        "concat('c', id) AS client_id", "'s' AS screen_id", "'b' AS batch_id",
+        "concat('2024-01-01T0', id % 5, ':00:00Z') AS event_time", "0.1D AS x_norm", "0.2D AS y_norm",
+        "'mousemove' AS event_type", "cast(null AS string) AS received_at",
+    )
+    raw.repartition(8).write.parquet(path("in"))
+    source = lambda: event_log.read_file_stream(spark, path("in"), schemas.RAW_EVENT)
+    moved = []
+
+    def half(session, staged, base, prefix):
+        one = next(p for p in pathlib.Path(staged).rglob("part-*"))
+        target = pathlib.Path(base) / one.parent.relative_to(staged)
+        target.mkdir(parents=True)
+        one.rename(target / f"{prefix}-{one.name}")
+        moved.append(one.name)
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(sinks.files, "move_in", half)
+    with pytest.raises(Exception, match="driver lost"):
+        _run(sinks.land_events(source(), path("out"), path("cp"), "parquet", None))
+    monkeypatch.undo()
+    _run(sinks.land_events(source(), path("out"), path("cp"), "parquet", None))
+    assert len(moved) == 1
+    landed = raw_files.read_raw_parquet(spark, path("out"))
+    assert landed.count() == 4000 and landed.select("client_id").distinct().count() == 4000
+    assert len(landed.inputFiles()) <= 2 * 5
+    assert not (pathlib.Path(path("out")) / "_spark_metadata").exists()
+    hour = raw_files.read_bucket_partition(spark, path("out"), "2024-01-01", 3, "parquet")
+    assert hour.count() == 800 and all("hour=03" in f for f in hour.inputFiles())
+
+
 def test_thinning_goes_on_across_micro_batches(spark, path, few_tasks):
     fast = F.timestamp_micros(F.expr("unix_micros(event_time) div 36000")).alias("event_time")
     moves = views.raw_events(spark, SF).select("client_id", "screen_id", fast, "event_id")

@@ -101,26 +101,22 @@ _TIER_BUILDERS = {
 }
 _TIER_SQL = {"hourly": views.HOURLY, "daily": views.DAILY, "weekly": views.WEEKLY}
 _TIER_UNIT = {"hourly": "hour", "daily": "day", "weekly": "week"}
-_TIER_ASKED = {"hourly": "hour", "daily": "day", "weekly": "day"}
 _TIER_LIMIT = {"hourly": 24, "daily": 30, "weekly": 12}
 
 
 def _read_queries(tier: str) -> None:
-    cells = f"""WITH {_TIER_SQL[tier]} SELECT {TIER} FROM {tier}
-      WHERE {_TIER_ASKED[tier]}(bucket_start) % 3 = 1"""
+    cells = f"WITH {_TIER_SQL[tier]} SELECT {TIER} FROM {tier}"
 
     @query(f"query_heatmap_{tier}", cells)
     def _(spark, d):
-        """Cells of a third of the buckets, and of buckets that are empty, from a stored tier that was loaded
+        """Cells of every screen and bucket, and of buckets that are empty, from a stored tier that was loaded
         in two inserts."""
         raw = views.raw_events(spark, d)
         stored = work_path(spark, f"{tier}-tier")
         tables.write_tier(_twice_loaded(raw, _TIER_BUILDERS[tier]), stored, tier)
-        asked = {"hour": F.hour, "day": F.day}[_TIER_ASKED[tier]]
         known = grid.assign_bucket(grid.filter_event_type(raw), _TIER_UNIT[tier]).select("client_id", "screen_id", "bucket_start")
-        wanted = known.filter(asked("bucket_start") % 3 == 1)
         empty = known.withColumn("bucket_start", F.col("bucket_start") + F.expr("INTERVAL 1000 DAYS"))
-        return heatmap_queries.cells_for(tables.read_tier(spark, stored, tier), wanted.unionByName(empty))
+        return heatmap_queries.cells_for(tables.read_tier(spark, stored, tier), known.unionByName(empty))
 
     newest = f"""WITH {_TIER_SQL[tier]} SELECT client_id, screen_id, bucket_start, events FROM (
       SELECT *, row_number() OVER (PARTITION BY client_id, screen_id ORDER BY bucket_start DESC) AS n FROM (
