@@ -39,6 +39,10 @@ def reconcile_counts(approx: DataFrame, exact: DataFrame, keys: list[str], thres
     )
 
 
+#: Rows of one percentile that a task may rank, and the parts a bracket is cut into to get there.
+RANKED_ROWS, BINS = 1_000_000, 4096
+
+
 def severity_report(metrics: DataFrame, levels: DataFrame | None = None) -> DataFrame:
     """Measured values (scope, metric, value) to ok / warning / critical.
 
@@ -71,7 +75,8 @@ def exact_percentiles(
     A sketch (evaluated here and saved, a row per group) brackets each wanted rank between two
     values. One more pass counts the rows below each bracket, as a map-side sum, and the copies of
     each distinct value inside it. Only values inside the brackets, about 4 / accuracy of a group,
-    are shuffled and ranked.
+    are shuffled and ranked. Where that could be more than RANKED_ROWS, brackets are narrowed first, by a
+    pass that counts rows in BINS parts of each, so no task ranks more whatever the size of a group.
     """
     slack = 2.0 / accuracy
     edges = [e for p in points for e in (max(p - slack, 0.0), min(p + slack, 1.0))]
@@ -94,6 +99,12 @@ def exact_percentiles(
         ]
     )
     wanted = saved(sketch.select(F.col(group).alias("_g"), "n", brackets.alias("brackets")), "brackets")
+    # A sketch's edges are off by one part in accuracy at most, on either side.
+    share = 2 * (slack + 1.0 / accuracy)
+    while share * (wanted.agg(F.max("n")).first()[0] or 0) > RANKED_ROWS:
+        wanted, inside = _narrowed(known, wanted, group)
+        if inside <= RANKED_ROWS:
+            break
     near = known.join(wanted, F.col(group).eqNullSafe(F.col("_g"))).select(
         group, "n", "v", F.inline("brackets")
     ).filter(F.col("v") <= F.col("high"))
@@ -112,5 +123,27 @@ def exact_percentiles(
     return reached.groupBy(group).agg(F.max("n").alias("n"), *found)
 
 
+def _narrowed(known: DataFrame, wanted: DataFrame, group: str) -> tuple[DataFrame, int]:
+    """Brackets cut down to the one of BINS equal parts that holds their rank, and the most rows left in one.
+
+    A bracket of a single value is left as it is and counts as one row: it is ranked by its copies.
+    """
+    near = known.join(wanted, F.col(group).eqNullSafe(F.col("_g"))).select("_g", "n", "v", F.inline("brackets"))
+    near = near.filter(F.col("v") <= F.col("high"))
+    # Halves, so that no difference leaves the range of a double.
+    part = F.floor((F.col("v") / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2) * BINS).cast("long")
+    place = F.when(F.col("v") < F.col("low"), -1).when(F.col("high") <= F.col("low"), 0).otherwise(F.least(part, F.lit(BINS - 1)))
+    counts = near.groupBy("_g", "n", "p", "wanted", place.alias("bin")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("v").alias("low"), F.max("v").alias("high")
+    )
+    upto = F.sum("rows").over(Window.partitionBy("_g", "p").orderBy("bin"))  # BINS + 1 rows at most
+    holding = counts.withColumn("upto", upto).filter((F.col("upto") >= F.col("wanted")) & (F.col("bin") >= 0))
+    first = F.row_number().over(Window.partitionBy("_g", "p").orderBy("bin"))
+    holding = saved(holding.withColumn("nth", first).filter("nth = 1"), "narrowed")
+    brackets = F.sort_array(F.collect_list(F.struct("p", "wanted", "low", "high")))  # one per point
+    left = holding.agg(F.max(F.when(F.col("high") > F.col("low"), F.col("rows")).otherwise(1))).first()[0]
+    return saved(holding.groupBy("_g", "n").agg(brackets.alias("brackets")), "brackets"), left or 0
+
+
 def _label(point: float) -> str:
     return "p" + f"{point * 100:g}".replace(".", "_")

@@ -1,7 +1,10 @@
+import math
 import random
 from collections import Counter, defaultdict
 from datetime import date, timedelta
 
+import pytest
+
 from gridtally.operators import bloom, checks, grid, listens, sketches
 
 SCHEMA = "event_id string, user_id string, song_id string, provider string, listened_at long"
@@ -158,6 +161,21 @@ def test_exact_percentiles(spark):
             assert out[g] == (len(values), *ranks), g
 
 
+@pytest.mark.parametrize("bins", [2, 64])
+def test_exact_percentiles_of_groups_too_large_to_rank(spark, monkeypatch, bins):
+    """Brackets are narrowed, over several passes, until few rows are left in each: many values, one, two, nulls."""
+    monkeypatch.setattr(checks, "RANKED_ROWS", 40)
+    monkeypatch.setattr(checks, "BINS", bins)
+    rng = random.Random(bins)
+    values = {"a": [rng.lognormvariate(0, 3) for _ in range(3000)], "b": [7.5] * 500, "c": [1.0] * 400 + [1e12] * 300, "d": [-3.0, 0.0, None, 2.0], None: [float(k % 97) for k in range(800)]}
+    frame = spark.createDataFrame([(g, v) for g, vs in values.items() for v in vs], "g string, v double")
+    out = {r.g: (r.n, r.p50, r.p95, r.p99) for r in checks.exact_percentiles(frame, "g", "v", accuracy=100).collect()}
+    for g, vs in values.items():
+        known = sorted(v for v in vs if v is not None)
+        at = lambda p: known[max(math.ceil(p * len(known)), 1) - 1]
+        assert out[g] == (len(known), at(0.5), at(0.95), at(0.99))
+
+
 def test_percentile_sketch_is_close(spark):
     frame = spark.range(10_000).selectExpr("'g' AS g", "cast(id AS double) AS v")
     row = checks.latency_percentiles(frame, "g", "v").first()
