@@ -44,35 +44,3 @@ def older_folders(spark: SparkSession, path: str, column: str, limit: str, below
         elif "=" in name:
             found += older_folders(spark, path, column, limit, here)
     return found
-
-
-def mark(spark: SparkSession, path: str) -> None:
-    """An empty file, made whole or not at all."""
-    place, system = _at(spark, path)
-    system.create(place, True).close()
-
-
-def move_in(spark: SparkSession, staged: str, base: str, prefix: str) -> None:
-    """Move every file below ``staged`` to the same folder below ``base``, its name after ``prefix``.
-
-    Moving is one step per file, so a reader sees a file whole or not at all; run again, it moves what is left.
-    """
-    place, system = _at(spark, staged)
-    if not system.exists(place):
-        return
-    root = system.getFileStatus(place).getPath().toUri().getPath()
-    files = system.listFiles(place, True)
-    target = spark._jvm.org.apache.hadoop.fs.Path
-    made = set()
-    while files.hasNext():
-        at = files.next().getPath()
-        if at.getName().startswith(("_", ".")):
-            continue
-        folder = at.getParent().toUri().getPath()[len(root) :].strip("/")
-        if folder not in made:
-            system.mkdirs(target(f"{base}/{folder}"))
-            made.add(folder)
-        to = target(f"{base}/{folder}/{prefix}-{at.getName()}")
-        if not system.rename(at, to):
-            raise OSError(f"could not move {at} to {to}")
-    system.delete(place, True)
