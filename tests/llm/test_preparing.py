@@ -380,5 +380,5 @@ def test_pipeline_stages(spark, path):
 
 def test_every_operator_is_registered():
     names = set(registered.queries())
-    assert {re.match(r"op\d+_", n)[0] for n in names if n.startswith("op")} == {f"op{k}_" for k in range(1, 11)}
+    assert {re.match(r"op\d+_", n)[0] for n in names if n.startswith("op")} == {f"op{k}_" for k in range(1, 14)}
     assert "pipeline" in names
