@@ -24,6 +24,8 @@ from gridtally.session import saved
 BLOCKS = 1024
 
 Point = tuple[int, int]  # running bytes, running rows
+#: (last end in [low, x], first end in (x, high]) of three numbers low, x, high.
+Near = Callable[[int, int, int], tuple[Point | None, Point | None]]
 
 
 class Steps:
@@ -109,6 +111,47 @@ def smallest_capacity(summarize: Summarize, total: int, shards: int) -> tuple[in
         )
 
 
+def balanced(near: Near, tail: list[Point], capacity: int, shards: int) -> list[Point]:
+    """Shard ends, from (0, 0) on, with no shard above a feasible ``capacity`` and none empty while groups are left.
+
+    ``tail[j]`` is the end that j groups come after, for each j below the number of shards and groups.
+    """
+    total = tail[0]
+    least = [total[0]]  # least end after each number of shards, from the last one back, that lets the rest fit
+    for _ in range(shards - 1):
+        x = least[-1] - capacity
+        least.append(near(x, x - 1, total[0])[1][0] if x > 0 else 0)
+    ends = [(0, 0)]
+    for left in range(shards - 1, 0, -1):
+        at = ends[-1][0]
+        if at >= total[0]:
+            ends.append(total)
+            continue
+        low, high = max(least[left], at + 1), at + capacity
+        spare = left < len(tail) and tail[left][0] > at
+        if spare:  # a group at least for every shard to come
+            high = min(high, tail[left][0])
+        wanted = at + (total[0] - at) // (left + 1) if spare else low
+        wanted = min(max(wanted, low), high)
+        below, above = near(low, wanted, high)
+        if below and above:
+            below = below if wanted - below[0] <= above[0] - wanted else above
+        ends.append(below or above)
+    return [*ends, total]
+
+
+def _finder(groups: DataFrame, largest: int) -> Near:
+    """Looks up ends in the stored groups; no gap between ends is wider than the largest group."""
+    end = F.struct("upto", "row")
+
+    def near(low: int, x: int, high: int) -> tuple[Point | None, Point | None]:
+        here = groups.filter(F.col("upto").between(max(low, x - largest), min(high, x + largest)))
+        found = here.agg(F.max(F.when(F.col("upto") <= x, end)), F.min(F.when(F.col("upto") > x, end))).first()
+        return tuple(tuple(f) if f else None for f in found)
+
+    return near
+
+
 def _summarizer(groups: DataFrame) -> Summarize:
     """Blocks of group ends, for several bands in one job."""
 
@@ -167,7 +210,9 @@ def shard(docs: DataFrame, shards: int = 8, doc_id: str = "doc_id", text: str =
     """One row per row of ``docs``: its shard, such that the fullest shard is as small as the order allows.
 
     A null text counts as empty and shares a group with empty texts. Repeated rows each get a slot of
-    their own. An empty table gives no rows. Other columns of ``docs`` are not read.
+    their own. A very long or very common text fills a shard of its own where it must, and the others share
+    the rest evenly; no shard is empty if there are as many different texts. An empty table gives no rows.
+    Other columns of ``docs`` are not read.
     """
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     rows = docs.select(
@@ -177,9 +222,15 @@ def shard(docs: DataFrame, shards: int = 8, doc_id: str = "doc_id", text: str =
         F.sha2(body.cast("binary"), 256).alias("text_key"),
     )
     ordered = saved(numbered(rows, ["text_key", "doc_id"], "size"), "numbered")
-    groups = saved(ordered.groupBy("text_key").agg(F.max("upto").alias("upto"), F.max("row").alias("row")).drop("text_key"), "ends")
-    total = groups.agg(F.max("upto")).first()[0]
-    ends = smallest_capacity(_summarizer(groups), total, shards)[1] if total else [(0, 0)] * (shards + 1)
+    groups = ordered.groupBy("text_key").agg(F.max("upto").alias("upto"), F.max("row").alias("row"), F.sum("size").alias("bytes"))
+    # In ranges of ends, so that looking for an end opens the files around it only.
+    groups = saved(groups.drop("text_key").repartitionByRange("upto").sortWithinPartitions("upto"), "ends")
+    total, largest = groups.agg(F.max("upto"), F.max("bytes")).first()
+    ends = [(0, 0)] * (shards + 1)
+    if total:
+        capacity, _ = smallest_capacity(_summarizer(groups), total, shards)
+        tail = [tuple(r) for r in groups.select("upto", "row").orderBy(F.desc("upto")).limit(shards).collect()]
+        ends = balanced(_finder(groups, largest), tail, capacity, shards)
     number = F.lit(0)
     start = F.lit(0)
     for upto, row in ends[1:-1]:

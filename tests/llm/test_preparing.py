@@ -269,6 +269,32 @@ def test_smallest_capacity_equals_a_plain_search(monkeypatch):
         assert cuts[-1][0] == ends[-1]
         assert all(b[0] - a[0] <= capacity for a, b in zip(cuts, cuts[1:]))
 
+        def near(low, x, high):
+            points = [(upto, row) for row, upto in enumerate(ends, 1)]
+            below, above = [p for p in points if low <= p[0] <= x], [p for p in points if x < p[0] <= high]
+            return (below[-1] if below else None), (above[0] if above else None)
+
+        tail = [(ends[-1 - j], len(ends) - j) for j in range(min(shards, len(ends)))]
+        cuts = sharding.balanced(near, tail, capacity, shards)
+        loads = [b[0] - a[0] for a, b in zip(cuts, cuts[1:])]
+        assert len(loads) == shards and sum(loads) == ends[-1] and max(loads) == capacity
+        assert sum(x > 0 for x in loads) == min(shards, len(sizes))
+        assert all(upto == (ends[row - 1] if row else 0) for upto, row in cuts)
+
+
+def test_shards_behind_a_very_common_text_are_filled(spark):
+    rows = spark.range(1500).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, "common text").otherwise(F.concat(F.lit("text "), F.col("id").cast("string"))).alias("text"),
+    )
+    load = Counter()
+    for r in sharding.shard(rows, 8).collect():
+        load[r["shard"]] += r["size"]
+    hot = 500 * 12
+    rest = sorted(load.values())[:-1]
+    assert sorted(load) == list(range(8)) and hot <= max(load.values()) < hot + 2 * sum(rest) / 7
+    assert min(rest) > sum(rest) / 7 / 2
+
 
 def test_sharding(awkward, empty, spark):
     docs, rows = awkward
