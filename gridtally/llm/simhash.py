@@ -3,15 +3,18 @@
 A fingerprint is embedded as the vector of set bits of its segments. Fingerprints that differ in d bits lie
 within Manhattan distance d there, so the vectors bound the bit distance from below. The grid has one cell
 per vector; each fingerprint enters its own cell and the adjacent ones within half the range, and two
-fingerprints in range always meet in a cell. A fingerprint that meets nobody is out. In the cells that are
-left, bit distance is checked exactly: two fingerprints at most two bits apart have a common word at most
-one bit from each, and that word's own vector is the cell in which they meet. At most 65 fingerprints
-share a word, so no cell is paired out, however many near copies it holds.
+fingerprints in range always meet in a cell. Those that meet are joined under the Manhattan bound, and the bit
+distance decides.
+
+A crowded cell is not paired out but split by finer segments, down to one bit each, where the vector is the
+word itself: two fingerprints at most two bits apart have a common word at most one bit from each, that word's
+cell is one of those in which they meet, and at most 65 fingerprints share a word.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -23,8 +26,12 @@ from gridtally.llm.components import components
 from gridtally.session import saved
 
 SEED = 42
+#: Differing bits at which fingerprints are linked.
+RANGE = 2
 #: Segments of four bits: a cell is the 64-bit word of sixteen counts from 0 to 4.
 SEGMENT_BITS = 4
+#: Fingerprints in a cell beyond which it is split; no more than share a word of the finest grid.
+CROWDED = 64
 #: Shingles whose bits are counted at a time.
 PASS = 1 << 16
 
@@ -86,19 +93,37 @@ def _words_near(word: Column) -> Column:
     return F.array(word, *[word.bitwiseXOR(_signed(1 << b)) for b in range(64)])
 
 
+def _manhattan(a: Column, b: Column) -> Column:
+    """Distance between the segment counts of two words."""
+    u, v = segment_counts(a), segment_counts(b)
+    here = lambda counts, place: F.shiftrightunsigned(counts, place).bitwiseAND(F.lit(15))
+    return reduce(Column.__add__, [F.abs(here(u, k) - here(v, k)) for k in range(0, 64, SEGMENT_BITS)])
+
+
+def _in_range(a: Column, b: Column) -> Column:
+    """The lower bound first, then the bit distance."""
+    return (_manhattan(a, b) <= RANGE) & (F.bit_count(a.bitwiseXOR(b)) <= RANGE)
+
+
 def links(fingerprints: DataFrame) -> DataFrame:
     """Edges (u, v) that join all fingerprints of column ``fp`` (distinct) at two bits or fewer.
 
-    Not every such pair is an edge of its own: those around one word are joined to the least of them.
+    In crowded cells not every such pair is an edge of its own: those around one word are joined to the
+    least of them.
     """
     entered = fingerprints.select("fp", F.explode(_cells(F.col("fp"))).alias("cell"))
-    met = entered.groupBy("cell").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).filter("a <> b").select("cell")
-    near = entered.join(met, "cell", "left_semi")
-    points = near.select("fp", "cell", F.explode(_words_near(F.col("fp"))).alias("word")).filter(
-        segment_counts(F.col("word")) == F.col("cell")
-    )
+    crowded = saved(entered.groupBy("cell").count().filter(F.col("count") > CROWDED).select("cell"), "crowded-cells")
+    light = entered.join(crowded, "cell", "left_anti")
+    a, b = light.alias("a"), light.alias("b")
+    met = (F.col("a.cell") == F.col("b.cell")) & (F.col("a.fp") < F.col("b.fp"))
+    pairs = a.join(b, met & _in_range(F.col("a.fp"), F.col("b.fp"))).select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v"))
+
+    words = fingerprints.select("fp", F.explode(_words_near(F.col("fp"))).alias("word"))
+    points = words.withColumn("cell", segment_counts(F.col("word"))).join(crowded, "cell", "left_semi")
     around = points.groupBy("word").agg(F.collect_set("fp").alias("all")).filter(F.size("all") > 1)  # 65 at most
-    return around.select(F.array_min("all").alias("u"), F.explode("all").alias("v")).filter("u <> v").distinct()
+    close = around.select(F.array_min("all").alias("u"), F.explode("all").alias("v")).filter("u < v")
+    close = close.filter(_in_range(F.col("u"), F.col("v")))
+    return pairs.unionByName(close).distinct()
 
 
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3) -> tuple[DataFrame, DataFrame]:
@@ -114,8 +139,9 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle:
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id, a row per row of ``docs``.
 
-    Null and empty texts have fingerprint zero and are linked like any other. A null id never names a
-    component unless the whole component lacks ids. Repeated rows come out as often as they went in.
+    Null and empty texts have fingerprint zero and are linked like any other; very long ones are counted in
+    passes. A null id never names a component unless the whole component lacks ids. Repeated rows come out as
+    often as they went in. An empty table gives no rows. Other columns of ``docs`` are not read.
     """
     marked, found = groups(docs, doc_id, text, shingle)
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
@@ -123,10 +149,22 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
-    """Of every component the row with the smallest id (any one, if that id is repeated), as it came."""
-    _, found = groups(docs, doc_id, text, shingle)
+    """Of every component the row with the smallest id (any one, if that id is repeated), as it came.
+
+    Null and empty texts are one component. Rows without an id are kept only for components without any id.
+    An id of a single row settles the row; texts are read again only of ids that stand for several.
+    """
+    marked, found = groups(docs, doc_id, text, shingle)
+    rows_of = marked.groupBy("doc_id").agg(F.count("*").alias("n"))
+    keepers = found.groupBy("root").agg(F.first("component_id").alias("id"))
+    sole = F.col("n") == 1
+    ids = saved(keepers.join(rows_of, F.col("id").eqNullSafe(F.col("doc_id"))).select("root", "id", sole.alias("sole")), "keepers")
     own = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.select(own.alias("row"), F.col(f"`{doc_id}`").alias("id"), fingerprints(text, shingle).alias("fp"))
-    rows = rows.join(found.select("fp", "root"), "fp")
-    first = Window.partitionBy("root").orderBy(F.col("id").asc_nulls_last())
-    return rows.withColumn("place", F.row_number().over(first)).filter("place = 1").select("row.*")
+    rows = docs.select(own.alias("row"), F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("body"))
+    alone = rows.join(ids.filter("sole AND id IS NOT NULL").select("id"), "id", "left_semi").select("row.*")
+
+    shared = ids.filter("NOT sole OR id IS NULL").select("root", F.col("id").alias("least"))
+    some = rows.join(shared, F.col("id").eqNullSafe(F.col("least")), "left_semi").withColumn("fp", fingerprints("body", shingle))
+    some = some.join(found.select("fp", "root"), "fp").join(shared, "root").filter(F.col("id").eqNullSafe(F.col("least")))
+    first = Window.partitionBy("root").orderBy("fp")
+    return alone.unionByName(some.withColumn("place", F.row_number().over(first)).filter("place = 1").select("row.*"))

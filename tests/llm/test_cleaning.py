@@ -259,7 +259,9 @@ def test_simhash(awkward, empty):
     assert simhash.near_duplicates(empty).collect() == [] and simhash.keep_one(empty).collect() == []
 
 
-def test_links_equal_all_pairs_within_two_bits(spark):
+@pytest.mark.parametrize("crowded", [0, 3, 64])
+def test_links_equal_all_pairs_within_two_bits(spark, monkeypatch, crowded):
+    monkeypatch.setattr(simhash, "CROWDED", crowded)
     rng = random.Random(4)
     seeds = [rng.getrandbits(64) for _ in range(30)] + [0, (1 << 64) - 1]
     near = {s ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 4))) for s in seeds for _ in range(12)}
@@ -270,6 +272,30 @@ def test_links_equal_all_pairs_within_two_bits(spark):
     assert all(((a ^ b) & mask).bit_count() <= 2 for a, b in found)
     pairs = [(a, b) for a in signed for b in signed if a < b and ((a ^ b) & mask).bit_count() <= 2]
     assert plain_components(found, signed) == plain_components(pairs, signed)
+    if crowded == 64:  # no cell is split, so every pair is a link of its own
+        assert set(found) == set(pairs)
+
+
+def test_segment_counts_bound_the_bit_distance_from_below(spark):
+    rng = random.Random(9)
+    pairs = [(a, a ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 6)))) for a in (rng.getrandbits(64) for _ in range(300))]
+    counts = lambda x: [(x >> k & 15).bit_count() for k in range(0, 64, 4)]
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    table = spark.createDataFrame([(signed(a), signed(b)) for a, b in pairs], "a long, b long")
+    out = table.select("a", "b", simhash._manhattan(F.col("a"), F.col("b")).alias("d")).collect()
+    mask = (1 << 64) - 1
+    for r in out:
+        a, b = r["a"] & mask, r["b"] & mask
+        assert r["d"] == sum(abs(x - y) for x, y in zip(counts(a), counts(b))) <= (a ^ b).bit_count()
+
+
+def test_one_row_of_every_component_is_kept(spark):
+    long = " ".join(f"w{k}" for k in range(80))
+    rows = [(1, long), (1, long), (1, "other words"), (2, long), (None, "other words"), (None, "no id here"), (None, "no id here"), (3, None), (4, "")]
+    kept = simhash.keep_one(spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, root int"))
+    assert kept.columns == ["doc_id", "text", "root"]
+    expected = [(None, "no id here"), (1, "other words"), (1, long), (3, None)]
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(expected, key=str)
 
 
 def test_components_of_chains_stars_and_loops(spark):
