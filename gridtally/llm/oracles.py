@@ -13,20 +13,28 @@ _TRAILING = rules.TRAILING.replace("'", "''")
 def _broken(rule: rules.Rule) -> str:
     ratio = f"({rule.top}::DOUBLE / nullif({rule.bottom}, 0))"
     bad = [f"{ratio} < {rule.low}"] * (rule.low is not None) + [f"{ratio} > {rule.high}"] * (rule.high is not None)
-    return f"CASE WHEN {' OR '.join(bad)} THEN '{rule.name}' END"
+    held = f"in_{rule.name} AND " if rule.langs else ""
+    return f"CASE WHEN {held}({' OR '.join(bad)}) THEN '{rule.name}' END"
+
+
+def _in_language(rule: rules.Rule) -> str:
+    codes = ", ".join(f"'{c}'" for c in rule.langs)
+    return f"CASE WHEN code NOT IN ('', 'und', 'unknown') THEN code IN ({codes}) ELSE mostly_latin END AS in_{rule.name}"
 
 
 def quality_cte(table: str = "documents") -> str:
     """CTEs that end in ``judged``: doc_id, counts, verdict."""
     return f"""
-qd AS (SELECT doc_id, coalesce(text, '') AS t FROM {table}),
-qw AS (SELECT doc_id, t,
+qd AS (SELECT doc_id, coalesce(text, '') AS t, lower(regexp_extract(lang, '^\\s*([A-Za-z]+)', 1)) AS code FROM {table}),
+ql AS (SELECT *, 2 * length(regexp_replace(t, '\\P{{Latin}}+', '', 'g')) >= length(regexp_replace(t, '\\P{{L}}+', '', 'g'))
+  AS mostly_latin FROM qd),
+qw AS (SELECT doc_id, t, {", ".join(_in_language(r) for r in rules.RULES if r.langs)},
   list_filter(string_split_regex(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws,
-  list_filter(string_split(t, chr(10)), lambda x: length(translate(x, {_WHITE}, '')) > 0) AS ls FROM qd),
+  list_filter(string_split(t, chr(10)), lambda x: length(translate(x, {_WHITE}, '')) > 0) AS ls FROM ql),
 qi AS (SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i, ws FROM qw WHERE len(ws) >= 3),
 qg AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i], ws[i + 1], ws[i + 2]) AS c FROM qi),
 qr AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM qg, (SELECT unnest([0, 1, 2]) AS k) WHERE c > 1 GROUP BY doc_id),
-counted AS (SELECT doc_id, len(ws)::BIGINT AS n_words, length(translate(t, {_WHITE}, ''))::BIGINT AS word_chars,
+counted AS (SELECT doc_id, {", ".join(f"in_{r.name}" for r in rules.RULES if r.langs)}, len(ws)::BIGINT AS n_words, length(translate(t, {_WHITE}, ''))::BIGINT AS word_chars,
   (length(t) - length(translate(t, '{rules.SYMBOLS}', '')))::BIGINT AS n_symbols, len(ls)::BIGINT AS n_lines,
   (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
   len(list_filter(ws, lambda w: lower(rtrim(w, '{_TRAILING}')) IN ({_STOPS})))::BIGINT AS n_stop_words,

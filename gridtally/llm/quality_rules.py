@@ -86,39 +86,46 @@ def _repeat_words(words: Column, hashes: Column) -> Column:
     )
 
 
+def private(docs: DataFrame) -> str:
+    """A start of column names that no column of ``docs`` has."""
+    return "_" * (1 + max((len(c) - len(c.lstrip("_")) for c in docs.columns), default=0))
+
+
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the count columns that the rules bound; a null text counts as no words."""
+    own = private(docs)
+    words, lines, hashes = (f"{own}{name}" for name in ("words", "lines", "hashes"))
     body = F.coalesce(F.col(text), F.lit(""))
     out = docs.withColumns(
         {
-            "_words": F.filter(F.split(body, WORD_BREAK), lambda w: w != ""),
-            "_lines": F.filter(F.split(body, "\n"), lambda x: x.rlike(NOT_WHITE)),
+            words: F.filter(F.split(body, WORD_BREAK), lambda w: w != ""),
+            lines: F.filter(F.split(body, "\n"), lambda x: x.rlike(NOT_WHITE)),
             "n_symbols": F.length(F.regexp_replace(body, f"[^{SYMBOLS}]+", "")).cast("long"),
         }
     )
     bare = lambda w: F.rtrim(w, F.lit(TRAILING))
     out = out.withColumns(
         {
-            "n_words": F.size("_words").cast("long"),
-            "word_chars": F.length(F.array_join("_words", "")).cast("long"),
-            "n_lines": F.size("_lines").cast("long"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "n_stop_words": F.size(F.filter("_words", lambda w: F.lower(bare(w)).isin(*STOP_WORDS))).cast("long"),
-            "n_shouted_words": F.size(F.filter("_words", lambda w: (w == F.upper(w)) & (w != F.lower(w)))).cast("long"),
-            "n_bullet_lines": F.size(F.filter("_lines", lambda x: x.rlike(r"^\s*[-*•|]"))).cast("long"),
-            "n_open_lines": F.size(F.filter("_lines", lambda x: x.rlike(r"(\.\.\.|…)\s*$"))).cast("long"),
-            "_hashes": F.when(
-                F.size("_words") >= 3,
+            "n_words": F.size(words).cast("long"),
+            "word_chars": F.length(F.array_join(words, "")).cast("long"),
+            "n_lines": F.size(lines).cast("long"),
+            "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
+            "n_stop_words": F.size(F.filter(words, lambda w: F.lower(bare(w)).isin(*STOP_WORDS))).cast("long"),
+            "n_shouted_words": F.size(F.filter(words, lambda w: (w == F.upper(w)) & (w != F.lower(w)))).cast("long"),
+            "n_bullet_lines": F.size(F.filter(lines, lambda x: x.rlike(r"^\s*[-*•|]"))).cast("long"),
+            "n_open_lines": F.size(F.filter(lines, lambda x: x.rlike(r"(\.\.\.|…)\s*$"))).cast("long"),
+            hashes: F.when(
+                F.size(words) >= 3,
                 F.transform(
-                    F.sequence(F.lit(0), F.size("_words") - 3),
-                    lambda i: F.xxhash64(F.get("_words", i), F.get("_words", i + 1), F.get("_words", i + 2)),
+                    F.sequence(F.lit(0), F.size(words) - 3),
+                    lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)),
                 ),
             ).otherwise(F.array().cast("array<bigint>")),
         }
     )
-    some = F.size(F.array_distinct("_hashes")) < F.size("_hashes")
-    out = out.withColumn("n_repeat_words", F.when(some, _repeat_words(F.col("_words"), F.col("_hashes"))).otherwise(0).cast("long"))
-    return out.drop("_words", "_lines", "_hashes")
+    some = F.size(F.array_distinct(hashes)) < F.size(hashes)
+    out = out.withColumn("n_repeat_words", F.when(some, _repeat_words(F.col(words), F.col(hashes))).otherwise(0).cast("long"))
+    return out.drop(words, lines, hashes)
 
 
 def _in_language(langs: tuple[str, ...], text: Column, lang: Column) -> Column:
@@ -130,10 +137,10 @@ def _in_language(langs: tuple[str, ...], text: Column, lang: Column) -> Column:
     return F.when(labelled, code.isin(*langs)).otherwise(2 * n_latin >= n_letters)
 
 
-def verdict(rules: tuple[Rule, ...] = RULES) -> Column:
+def verdict(rules: tuple[Rule, ...] = RULES, own: str = "_") -> Column:
     """Names of the rules a measured row breaks; empty for a kept row.
 
-    For a rule of some languages, the column ``_in_`` and its name tells whether the row is in one of them.
+    For a rule of some languages, the column ``own`` + ``in_`` and its name tells whether the row is in one of them.
     """
     broken = []
     for rule in rules:
@@ -144,7 +151,7 @@ def verdict(rules: tuple[Rule, ...] = RULES) -> Column:
         if rule.high is not None:
             bad = bad | (ratio > rule.high)
         if rule.langs:
-            bad = F.col(f"_in_{rule.name}") & bad
+            bad = F.col(f"{own}in_{rule.name}") & bad
         broken.append(F.when((F.col(rule.bottom) > 0) & bad, F.lit(rule.name)))
     return F.filter(F.array(*broken), lambda name: name.isNotNull())
 
@@ -153,16 +160,18 @@ def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES,
     """``docs`` with counts, ``base_failed``, ``broken_rules`` and ``kept``.
 
     A null or empty text has no words and fails the base; ties do not arise, each row is judged alone,
-    so repeated rows get the same verdict. Columns of ``docs`` that have the name of a measure are replaced.
+    so repeated rows get the same verdict. Whole texts are read, however long; an empty table gives no rows.
+    Columns of ``docs`` that have the name of a measure are replaced, all others are passed on.
     ``lang`` names the column of language codes, if there is one.
     """
     label = F.col(lang) if lang in docs.columns else F.lit(None)
     body = F.coalesce(F.col(text), F.lit(""))
     # Told before the text is measured, so that it need not be carried on.
-    languages = {f"_in_{r.name}": _in_language(r.langs, body, label.cast("string")) for r in rules if r.langs}
+    own = private(docs)
+    languages = {f"{own}in_{r.name}": _in_language(r.langs, body, label.cast("string")) for r in rules if r.langs}
     out = measure(docs.withColumns(languages), text)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    out = out.withColumns({"base_failed": failed, "broken_rules": verdict(rules)}).drop(*languages)
+    out = out.withColumns({"base_failed": failed, "broken_rules": verdict(rules, own)}).drop(*languages)
     return out.withColumn("kept", ~F.col("base_failed") & (F.size("broken_rules") == 0))
 
 

@@ -5,16 +5,17 @@ import random
 import re
 from collections import Counter
 
+import duckdb
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from gridtally.llm import components, decontamination, line_dedup, quality_rules, simhash, suffix_dedup
+from gridtally.llm import components, decontamination, line_dedup, oracles, quality_rules, queries, simhash, suffix_dedup
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Columns whose names the operators use themselves.
-CLASHING = ["row", "kept", "fp", "root", "o", "d", "body", "cut", "_text", "chunk", "place", "id", "n_words", "base_failed"]
+CLASHING = ["row", "kept", "fp", "root", "o", "d", "body", "cut", "_text", "chunk", "place", "id", "n_words", "base_failed", "_words", "_lines", "_hashes", "_in_stop_words"]
 
 
 def words(text):
@@ -90,6 +91,36 @@ def test_stop_words_bound_only_the_languages_they_are_of(spark):
     assert {r["doc_id"] for r in unlabelled.collect()} == {1, 2, 5}
 
 
+def test_quality_sql_states_the_language_rule_too(spark, tmp_path):
+    prose = {
+        "en": "the cat and the dog sat in the house", "de": "der Hund und die Katze mit dem Ball", "fr": "le chat et la maison dans une rue",
+        "es": "el gato y la casa de una mujer", "pl": "kot oraz pies siedzą razem przed domem", "tr": "kedi ile köpek evde birlikte oturuyor",
+        "ru": "кошка сидит дома вместе собакой вечером", "el": "γάτα σκύλος μαζί σπίτι βράδυ τραπέζι",
+        "zh": "猫 狗 房子 坐着 晚上 一起", "ar": "قطة كلب بيت مساء معا جالس",
+    }
+    labels = lambda lang: (lang, None, "", "und", " EN-us", "unknown", "pl", "de_DE")
+    rows, n = [], 0
+    for lang, text in prose.items():
+        # A number after every other word, so that no window of words is found twice.
+        body = "\n".join(" ".join(f"{w} {100 * k + j}" if j % 2 else w for j, w in enumerate(text.split())) for k in range(1, 13))
+        for label in labels(lang):
+            rows.append((n := n + 1, body, label))
+    rows += [(n + 1, None, None), (n + 2, "", "en"), (n + 3, "a b c " * 30, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+        found = db.execute(oracles.QUALITY_RULES).fetchall()
+    mine = queries.op2_quality_rules(spark, str(tmp_path)).collect()
+    assert sorted(tuple(r) for r in mine) == sorted(found)
+    kept = {r["doc_id"]: r["kept"] for r in mine}
+    of = {i: (t, label) for i, t, label in rows}
+    russian = [i for i, (t, _) in of.items() if t and "кошка" in t]
+    polish = [i for i, (t, label) in of.items() if t and "pies" in t and label == "pl"]
+    assert polish and all(kept[i] for i in polish)
+    assert {of[i][1] for i in russian if not kept[i]} == {" EN-us", "de_DE"}
+
+
 def line_oracle(rows, least=50):
     docs = sorted({(suffix_dedup.LAST if i is None else i, t) for i, t in rows if t})
     sequences = {d: [x for x in d[1].split("\n") if words(x)] for d in docs}
