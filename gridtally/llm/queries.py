@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,9 +15,6 @@ from gridtally.llm import (
 )
 from workload.registry import query
 
-#: Folder of the public vocabulary files; the driver reads them and sends them on.
-TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
-
 #: Key of the surrogates; set it to a secret where the result leaves the house.
 SURROGATE_KEY = os.environ.get("SURROGATE_KEY", "registered-query")
 
@@ -47,8 +45,9 @@ def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(BENCHMARK).parquet(f"{sf_dir}/benchmark.parquet")
 
 
-def byte_vocabulary() -> str:
-    with open(f"{TOKENIZERS}/byte_bpe_50k.json", encoding="utf-8") as file:
+def byte_vocabulary(path: str | None = None) -> str:
+    """The vocabulary file's text; the driver reads it and sends it on."""
+    with open(path or public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
         return file.read()
 
 
@@ -70,7 +69,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_token_counts")
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word-piece length of every document under the 32,000-piece vocabulary."""
-    pieces = token_counts.sentencepiece_vocabulary(f"{TOKENIZERS}/piece_bpe_32k.model")
+    pieces = token_counts.sentencepiece_vocabulary(str(public_tokenizers.path("piece_bpe_32k.model")))
     return token_counts.count_tokens(documents(spark, sf_dir), pieces)
 
 

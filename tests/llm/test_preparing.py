@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,7 +58,7 @@ def test_automaton_counts_like_greedy_matching():
 
 def test_token_counts(awkward, empty, monkeypatch):
     docs, rows = awkward
-    pieces = token_counts.sentencepiece_vocabulary(f"{queries.TOKENIZERS}/piece_bpe_32k.model")
+    pieces = token_counts.sentencepiece_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
     known = set(pieces)
     out = token_counts.count_tokens(docs, pieces).collect()
     expected = Counter()
