@@ -30,6 +30,10 @@ MIN_WORDS = 50
 LAST = (1 << 63) - 1
 
 PLACE = ["o", "d"]
+#: What names a run: its lines, and the ranks of its halves.
+RUN = ["m", "a", "b"]
+#: A run is common with more than one in so many of all copies.
+COMMON = 1000
 
 
 def _order(doc_id: str) -> Column:
@@ -122,10 +126,13 @@ def later_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mi
         tails = ranks.select(*PLACE, F.col("q").alias("t"), F.col("rank").alias("b"))
         named.append(heads.withColumn("t", F.col("q") + F.col("m") - size).join(tails, [*PLACE, "t"]).drop("t"))
     copies = saved(reduce(DataFrame.unionByName, named), "runs")
-    first = copies.groupBy("m", "a", "b").agg(F.min(F.struct("o", "d", "q")).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    later = copies.join(first, ["m", "a", "b"]).filter(
-        (F.struct("o", "d") != F.struct("first.o", "first.d")) | (F.col("q") >= F.col("first.q") + F.col("m"))
-    )
+    first = copies.groupBy(*RUN).agg(F.min(F.struct("o", "d", "q")).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    first = saved(first, "first-copies")
+    # Common runs meet their first copy where they lie; so no task of the other join gets more of one run than that share.
+    common = F.col("n") * COMMON > copies.count()
+    hot = F.broadcast(first.filter(common))  # fewer than COMMON rows
+    met = copies.join(hot, RUN).unionByName(copies.join(hot, RUN, "left_anti").join(first.filter(~common), RUN))
+    later = met.filter((F.struct("o", "d") != F.struct("first.o", "first.d")) | (F.col("q") >= F.col("first.q") + F.col("m")))
     return later.groupBy(*PLACE).agg(F.array_sort(F.collect_set(F.struct("q", (F.col("q") + F.col("m")).alias("end")))).alias("runs"))
 
 
@@ -157,7 +164,8 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words
 
     Null texts stay null and empty ones empty, with no lines removed. Rows of equal id and text are one
     document and all get its result; of documents with equal ids the smaller content hash counts as the
-    earlier, and documents without an id come after all others.
+    earlier, and documents without an id come after all others. Ids must cast to whole numbers. A text is read
+    whole, however long; an empty table gives no rows; columns of ``docs`` keep any name, inside ``row``.
     """
     found = later_copies(docs, doc_id, text, min_words)
     rows = docs.select(

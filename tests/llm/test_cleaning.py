@@ -153,7 +153,9 @@ def line_oracle(rows, least=50):
     return out
 
 
-def test_line_dedup(awkward, empty):
+@pytest.mark.parametrize("common", [1, 20, 1000])
+def test_line_dedup(awkward, empty, monkeypatch, common):
+    monkeypatch.setattr(line_dedup, "COMMON", common)
     docs, rows = awkward
     # Documents of equal id stand in the order of their content hash, which the plain version does not know.
     single = docs.filter("doc_id is null or doc_id not in (2, 11)")
