@@ -93,16 +93,16 @@ def _words_near(word: Column) -> Column:
     return F.array(word, *[word.bitwiseXOR(_signed(1 << b)) for b in range(64)])
 
 
-def _manhattan(a: Column, b: Column) -> Column:
-    """Distance between the segment counts of two words."""
-    u, v = segment_counts(a), segment_counts(b)
-    here = lambda counts, place: F.shiftrightunsigned(counts, place).bitwiseAND(F.lit(15))
-    return reduce(Column.__add__, [F.abs(here(u, k) - here(v, k)) for k in range(0, 64, SEGMENT_BITS)])
+def _unary(word: Column) -> Column:
+    """Segment counts with as many low bits set as the count says, so that differing bits add up to Manhattan distance."""
+    counts, ones = segment_counts(word), _signed(0x1111111111111111)
+    two, four = F.shiftrightunsigned(counts, 1), F.shiftrightunsigned(counts, 2)
+    steps = [counts.bitwiseOR(two).bitwiseOR(four), two.bitwiseOR(four), counts.bitwiseAND(two).bitwiseOR(four), four]
+    return reduce(Column.bitwiseOR, [F.shiftleft(s.bitwiseAND(ones), k) for k, s in enumerate(steps)])
 
 
-def _in_range(a: Column, b: Column) -> Column:
-    """The lower bound first, then the bit distance."""
-    return (_manhattan(a, b) <= RANGE) & (F.bit_count(a.bitwiseXOR(b)) <= RANGE)
+def _apart(a: Column, b: Column) -> Column:
+    return F.bit_count(a.bitwiseXOR(b))
 
 
 def links(fingerprints: DataFrame) -> DataFrame:
@@ -111,18 +111,20 @@ def links(fingerprints: DataFrame) -> DataFrame:
     In crowded cells not every such pair is an edge of its own: those around one word are joined to the
     least of them.
     """
-    entered = fingerprints.select("fp", F.explode(_cells(F.col("fp"))).alias("cell"))
+    entered = fingerprints.select("fp", _unary(F.col("fp")).alias("counts"), F.explode(_cells(F.col("fp"))).alias("cell"))
     crowded = saved(entered.groupBy("cell").count().filter(F.col("count") > CROWDED).select("cell"), "crowded-cells")
     light = entered.join(crowded, "cell", "left_anti")
     a, b = light.alias("a"), light.alias("b")
     met = (F.col("a.cell") == F.col("b.cell")) & (F.col("a.fp") < F.col("b.fp"))
-    pairs = a.join(b, met & _in_range(F.col("a.fp"), F.col("b.fp"))).select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v"))
+    bound = _apart(F.col("a.counts"), F.col("b.counts")) <= RANGE  # Manhattan distance, never above the bit distance
+    pairs = a.join(b, met & bound & (_apart(F.col("a.fp"), F.col("b.fp")) <= RANGE))
+    pairs = pairs.select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v"))
 
     words = fingerprints.select("fp", F.explode(_words_near(F.col("fp"))).alias("word"))
     points = words.withColumn("cell", segment_counts(F.col("word"))).join(crowded, "cell", "left_semi")
     around = points.groupBy("word").agg(F.collect_set("fp").alias("all")).filter(F.size("all") > 1)  # 65 at most
     close = around.select(F.array_min("all").alias("u"), F.explode("all").alias("v")).filter("u < v")
-    close = close.filter(_in_range(F.col("u"), F.col("v")))
+    close = close.filter(_apart(F.col("u"), F.col("v")) <= RANGE)
     return pairs.unionByName(close).distinct()
 
 

@@ -315,7 +315,7 @@ def test_segment_counts_bound_the_bit_distance_from_below(spark):
     counts = lambda x: [(x >> k & 15).bit_count() for k in range(0, 64, 4)]
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     table = spark.createDataFrame([(signed(a), signed(b)) for a, b in pairs], "a long, b long")
-    out = table.select("a", "b", simhash._manhattan(F.col("a"), F.col("b")).alias("d")).collect()
+    out = table.select("a", "b", simhash._apart(simhash._unary(F.col("a")), simhash._unary(F.col("b"))).alias("d")).collect()
     mask = (1 << 64) - 1
     for r in out:
         a, b = r["a"] & mask, r["b"] & mask
