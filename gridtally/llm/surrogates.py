@@ -1,10 +1,14 @@
 """Personal data replaced by keyed, type-consistent surrogates, in built-in functions only.
 
-One pattern finds the entities; the text between them is left byte for byte. Each distinct entity of the
-corpus (type and canonical form) gets one surrogate, derived from a secret key, so mentions that corefer
-still do. Candidates that collide with each other or with an entity of the corpus are drawn again until
-every entity has a surrogate of its own. The surrogate then takes the form of each mention: separators,
-capitals and script stay, names keep their gender, card numbers stay valid.
+One pattern finds the entities; the text between them is left byte for byte, but for names that a title
+gave away elsewhere in the document. Each distinct entity of the corpus (type and canonical form) gets one
+surrogate, derived from a secret key, so mentions that corefer still do. Candidates that collide with each
+other or with an entity of the corpus, of whatever type, are drawn again until every entity has a surrogate
+of its own. The surrogate then takes the form of each mention: separators, capitals and script stay, names
+keep their gender, cards and IBANs valid check digits, IBANs their country.
+
+Within a document a family name after a title is the first person there of that family whose gender does not
+contradict it, and gets the family part of that person's surrogate.
 """
 
 from __future__ import annotations
@@ -17,7 +21,10 @@ from pyspark.sql import functions as F
 from gridtally.session import saved
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_NAME = r"\p{Lu}[\p{Ll}\p{M}]+(?:[-' ]\p{Lu}[\p{Ll}\p{M}]+){0,2}"
+#: Titles of either gender; they may follow one that tells it.
+NEUTRAL = ("Dr", "Doctor", "Prof", "Professor")
+_PART = r"(?:\p{Lu}')?\p{Lu}[\p{L}\p{M}]+"
+_NAME = rf"(?!(?:{'|'.join(NEUTRAL)})\b){_PART}(?:[- ]{_PART}){{0,2}}"
 MALE = ("Mr", "Herr", "Herrn", "Señor", "Monsieur", "господин", "κύριος")
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Señora", "Señorita", "Madame", "Mademoiselle", "госпожа", "κυρία")
 
@@ -36,7 +43,9 @@ PATTERNS = {
     r"|\+\d{1,3}(?:[ .\-]?\d{2,4}){3,4}(?!\w)",
     "male": rf"(?=\p{{Lu}})(?<=(?<!\p{{L}})(?:{'|'.join(MALE)})\.? ){_NAME}",
     "female": rf"(?=\p{{Lu}})(?<=(?<!\p{{L}})(?:{'|'.join(FEMALE)})\.? ){_NAME}",
+    "person": rf"(?=\p{{Lu}})(?<=(?<!\p{{L}})(?:{'|'.join(NEUTRAL)})\.? ){_NAME}",
 }
+NAMES = ("male", "female", "person")
 ANY = f"{_START}(?:{'|'.join(f'(?:{p})' for p in PATTERNS.values())})"
 
 # Names by script and gender: given names, then family names. Invented pools, freely extended.
@@ -55,6 +64,8 @@ FAMILY = {
 }
 
 _ALPHABETS = {"latin": ("a", 26), "cyrillic": ("а", 32), "greek": ("α", 17)}
+#: First and second letters of the syllables that make up further family names.
+_SYLLABLES = {"latin": ("bdfghklmnprstvz", "aeiou"), "cyrillic": ("бвгджзклмнпрстх", "аеиоу"), "greek": ("βγδζθκλμνπρστφχ", "αειοω")}
 
 
 def _script(text: Column) -> Column:
@@ -95,27 +106,54 @@ def _pick(pool: tuple[str, ...], seed: Column, place: str) -> Column:
     return F.get(F.array(*map(F.lit, pool)), _draw(seed, place, len(pool)).cast("int"))
 
 
-def _name(gender: str, canonical: Column, seed: Column, attempt: Column) -> Column:
-    """A name of the same script and number of parts; later attempts add family names, then syllables."""
-    parts = F.size(F.split(canonical, "[ -]"))
+def _name(kind: Column, canonical: Column, seed: Column, attempt: Column) -> Column:
+    """A name of the same script and gender, given name and family or family alone; later attempts spell longer families."""
+    whole = canonical.contains(" ")
     out = F.lit(None).cast("string")
     for script in FAMILY:
-        given, family = _pick(GIVEN[script, gender], seed, "given"), _pick(FAMILY[script], seed, "family")
-        first, size = _ALPHABETS[script]
-        letters = F.array(*[F.lit(chr(ord(first) + k)) for k in range(size)])
-        syllables = F.initcap(F.concat(*[F.get(letters, _draw(seed, f"s{k}", size).cast("int")) for k in range(12)]))
-        more = [F.concat(F.lit("-"), _pick(FAMILY[script], seed, f"family{k}")) for k in (1, 2)]
-        tail = (
-            F.when(attempt >= 6, F.concat(family, F.lit("-"), syllables))
-            .when(attempt >= 4, F.concat(family, *more))
-            .when(attempt >= 2, F.concat(family, more[0]))
-            .otherwise(family)
+        male, female = (_pick(GIVEN[script, gender], seed, "given") for gender in ("male", "female"))
+        either = F.when(_draw(seed, "gender", 2) == 0, male).otherwise(female)
+        given = F.when(kind == "male", male).when(kind == "female", female).otherwise(either)
+        first, second = _SYLLABLES[script]
+        syllables = [_pick(tuple(a + b for a in first for b in second), seed, f"s{k}") for k in range(8)]
+        family = (
+            F.when(attempt >= 6, F.initcap(F.concat(*syllables)))
+            .when(attempt >= 4, F.initcap(F.concat(*syllables[:4])))
+            .when(attempt >= 2, F.initcap(F.concat(*syllables[:3])))
+            .otherwise(_pick(FAMILY[script], seed, "family"))
         )
-        whole = F.when(parts > 1, F.concat_ws(" ", given, tail)).otherwise(tail)
-        out = F.when(_script(canonical) == script, whole).otherwise(out)
+        out = F.when(_script(canonical) == script, F.when(whole, F.concat_ws(" ", given, family)).otherwise(family)).otherwise(out)
     return out
 
 
+def _iban(canonical: Column) -> Column:
+    """The respelled account under its country, with check digits modulo 97."""
+    country, account = F.substring(canonical, 1, 2), F.expr("substring(spelled, 5, length(spelled))")
+    value = F.aggregate(
+        _characters(F.concat(account, country, F.lit("00"))),
+        F.lit(0),
+        lambda sum_, c: F.when(c.rlike("[0-9]"), sum_ * 10 + F.ascii(c) - 48).otherwise(sum_ * 100 + F.ascii(c) - 55) % 97,
+    )
+    return F.concat(country, F.lpad((98 - value).cast("string"), 2, "0"), account)
+
+
+def _ssn(seed: Column) -> Column:
+    """Nine digits in ranges that are given out: no area 000, 666 or 900 and above, no group 00, no serial 0000."""
+    area = _draw(seed, "area", 898) + 1
+    area = F.when(area >= 666, area + 1).otherwise(area)
+    parts = [(area, 3), (_draw(seed, "group", 99) + 1, 2), (_draw(seed, "serial", 9999) + 1, 4)]
+    return F.concat(*[F.lpad(n.cast("string"), width, "0") for n, width in parts])
+
+
+def _phone(canonical: Column, seed: Column) -> Column:
+    """Ten digits are area, exchange and line, the first two from 2 up; other numbers keep a leading zero or none."""
+    spelled = F.col("spelled")
+    area, exchange = ((_draw(seed, place, 8) + 2).cast("string") for place in ("area", "exchange"))
+    ten = F.concat(area, F.substring(spelled, 2, 2), exchange, F.substring(spelled, 5, 6))
+    lead = F.when(canonical.startswith("0"), "0").otherwise((_draw(seed, "lead", 9) + 1).cast("string"))
+    return F.when(F.length(canonical) == 10, ten).otherwise(F.concat(lead, F.expr("substring(spelled, 2, length(spelled))")))
+
+
 def _surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> tuple[Column, Column]:
     """The respelled canonical form, and the candidate built from it as column ``spelled``."""
     seed = F.sha2(F.concat_ws("|", F.lit(key), kind, canonical, attempt.cast("string")), 256)
@@ -130,8 +168,10 @@ def _surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> tu
         F.when(kind == "card", F.concat(body, check))
         .when(kind == "email", F.concat(local, added, F.lit(".example")))
         .when(kind == "ip", octets)
-        .when(kind == "male", _name("male", canonical, seed, attempt))
-        .when(kind == "female", _name("female", canonical, seed, attempt))
+        .when(kind == "iban", _iban(canonical))
+        .when(kind == "ssn", _ssn(seed))
+        .when(kind == "phone", _phone(canonical, seed))
+        .when(kind.isin(*NAMES), _name(kind, canonical, seed, attempt))
         .when(kind == "secret", F.concat("spelled", added))
         .otherwise(F.col("spelled"))
     )
@@ -143,37 +183,50 @@ def _with_candidates(entities: DataFrame, key: str) -> DataFrame:
     return entities.withColumn("spelled", spelled).withColumn("surrogate", chosen).drop("spelled")
 
 
+def _told(kind: str, value: str) -> Column:
+    """What tells an entity from others in a text: a name's family, since a title may stand before it alone."""
+    return F.when(F.col(kind).isin(*NAMES), F.regexp_extract(value, r"[^ ]+$", 0)).otherwise(F.col(value))
+
+
 def assign(entities: DataFrame, key: str) -> DataFrame:
-    """(kind, canonical, surrogate) for distinct (kind, canonical): no two alike, none equal to an entity.
+    """(kind, canonical, surrogate) for distinct (kind, canonical): no two alike, none equal to an entity of any kind.
 
-    Colliding candidates are drawn again with the next attempt, all but one of each. Settled rows never
-    change, so the rounds end when the last collision is gone.
+    Names count as alike if their families are. Colliding candidates are drawn again with the next attempt,
+    all but one of each. Settled rows never change, so the rounds end when the last collision is gone.
     """
-    known = entities.select("kind", F.col("canonical").alias("surrogate"))
+    known = saved(entities.select(_told("kind", "canonical").alias("told")).unionByName(entities.select(F.col("canonical").alias("told"))).distinct(), "known")
     waiting = entities.withColumn("attempt", F.lit(0))
     settled: list[DataFrame] = []
     while True:
-        drawn = saved(_with_candidates(waiting, key), "candidates")
+        drawn = saved(_with_candidates(waiting, key).withColumn("told", _told("kind", "surrogate")), "candidates")
         free = drawn
-        for taken in [known, *[s.select("kind", "surrogate") for s in settled]]:
-            free = free.join(taken, ["kind", "surrogate"], "left_anti")
-        won = free.groupBy("kind", "surrogate").agg(F.min("canonical").alias("canonical"))
-        settled.append(saved(won.select("kind", "canonical", "surrogate"), "settled"))
+        for taken in [known, *[s.select("told") for s in settled]]:
+            free = free.join(taken, "told", "left_anti")
+        won = free.groupBy("told").agg(F.min(F.struct("kind", "canonical", "surrogate")).alias("won"))
+        settled.append(saved(won.select("told", "won.*"), "settled"))
         waiting = drawn.join(settled[-1], ["kind", "canonical"], "left_anti").select("kind", "canonical", (F.col("attempt") + 1).alias("attempt"))
         waiting = saved(waiting, "waiting")
         if waiting.isEmpty():
-            return reduce(DataFrame.unionByName, settled)
+            return reduce(DataFrame.unionByName, settled).drop("told")
+
 
+def _after(titles: tuple[str, ...]) -> str:
+    """Matches where a text ends with one of the titles, a neutral one between or not."""
+    return rf"(?<!\p{{L}})(?:{'|'.join(titles)})\.? (?:(?:{'|'.join(NEUTRAL)})\.? )?$"
 
-def _kind(entity: Column) -> Column:
-    """The type of a mention; null for a number that is no card. Genders come from the place, not the text."""
+
+def _kind(entity: Column, before: Column) -> Column:
+    """The type of a mention; null for a number that is no card. What stands before it tells a name and its gender."""
     digits = F.regexp_replace(entity, r"\D", "")
     out = F.when(entity.rlike(f"^(?:{PATTERNS['email']})$"), "email")
     out = out.when(entity.rlike(f"^(?:{PATTERNS['iban']})$"), "iban")
     out = out.when(entity.rlike(f"^(?:{PATTERNS['card']})$"), F.when(F.call_function("luhn_check", digits), "card"))
     for name in ("ssn", "ip", "phone"):
         out = out.when(entity.rlike(f"^(?:{PATTERNS[name]})$"), name)
-    return out.otherwise(F.when(entity.rlike(f"^(?:{_NAME})$"), "male").otherwise("secret"))
+    named = entity.rlike(f"^(?:{_NAME})$")
+    for name, titles in (("female", FEMALE), ("male", MALE), ("person", NEUTRAL)):
+        out = out.when(named & before.rlike(_after(titles)), name)
+    return out.otherwise("secret")
 
 
 def _canonical(kind: Column, surface: Column) -> Column:
@@ -183,7 +236,7 @@ def _canonical(kind: Column, surface: Column) -> Column:
         .when(kind == "phone", F.regexp_replace(digits, r"^1(?=\d{10}$)", ""))  # with or without its country code
         .when(kind == "email", F.lower(surface))
         .when(kind == "iban", F.regexp_replace(surface, " ", ""))
-        .when(kind.isin("male", "female"), F.initcap(surface))
+        .when(kind.isin(*NAMES), F.initcap(surface))
         .otherwise(surface)
     )
 
@@ -204,7 +257,7 @@ def _poured(kind: Column, surface: Column, surrogate: Column) -> Column:
     shouted = (surface == F.upper(surface)) & (surface != F.lower(surface))
     return (
         F.when(kind.isin("card", "phone", "ssn", "iban"), filled)
-        .when(kind.isin("email", "male", "female") & shouted, F.upper(surrogate))
+        .when(kind.isin("email", *NAMES) & shouted, F.upper(surrogate))
         .otherwise(surrogate)
     )
 
@@ -218,41 +271,97 @@ def _name_key(text: str, doc_id: str) -> Column:
     return F.struct(F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`")).alias("a"), F.xxhash64(F.col(f"`{text}`"), F.lit(1)).alias("b"))
 
 
-def mentions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(d, place, surface, kind, canonical): every match in the documents, kind null where it is left alone."""
+def found_in(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(row, d, surfaces, between) of every row with a match: what matched and the texts around, written to the shared folder."""
     body = F.col(f"`{text}`")
-    found = docs.filter(_has(body)).select(
-        _name_key(text, doc_id).alias("d"),
-        F.posexplode(F.arrays_zip(F.regexp_extract_all(body, F.lit(ANY), F.lit(0)).alias("surface"), F.split(body, ANY, -1).alias("before"))).alias("place", "m"),
+    return saved(
+        docs.filter(_has(body)).select(
+            F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _name_key(text, doc_id).alias("d"),
+            F.regexp_extract_all(body, F.lit(ANY), F.lit(0)).alias("surfaces"), F.split(body, ANY, -1).alias("between"),
+        ),
+        "found",
+    )
+
+
+def _coreferent(names: DataFrame) -> DataFrame:
+    """Names with the person of their document that they mean: kind, canonical, and whether they are its family alone."""
+    names = names.withColumn("family", F.element_at(F.split("canonical", " "), -1))
+    gender = F.when(F.col("kind") != "person", F.col("kind"))
+    of_name = names.groupBy("d", "canonical").agg(F.min(gender).alias("own"))
+    of_family = names.groupBy("d", "family").agg(F.when(F.min(gender) == F.max(gender), F.min(gender)).alias("shared"))
+    names = names.join(of_name, ["d", "canonical"]).join(of_family, ["d", "family"])
+    names = names.withColumn("kind", F.when(F.col("kind") == "person", F.coalesce("own", "shared", "kind")).otherwise(F.col("kind")))
+
+    whole = F.col("canonical").contains(" ")
+    person = F.struct("place", "kind", "canonical")
+    first = names.filter(whole).groupBy("d", "family").agg(*[F.min(F.when(F.col("kind") == k, person)).alias(k) for k in NAMES])
+    meant = (
+        F.when(whole, F.lit(None))
+        .when(F.col("kind") == "male", F.coalesce("male", "person"))
+        .when(F.col("kind") == "female", F.coalesce("female", "person"))
+        .otherwise(F.coalesce("person", F.least("male", "female")))
     )
-    # Only the end of what stands before decides a name's gender.
-    female = F.col("m.before").rlike(rf"(?<!\p{{L}})(?:{'|'.join(FEMALE)})\.? $")
-    found = found.filter("m.surface is not null").select("d", "place", F.col("m.surface").alias("surface"), female.alias("female"))
-    found = found.withColumn("kind", _kind(F.col("surface")))
-    found = found.withColumn("kind", F.when((F.col("kind") == "male") & F.col("female"), "female").otherwise(F.col("kind")))
-    return found.withColumn("canonical", _canonical(F.col("kind"), F.col("surface"))).drop("female").dropDuplicates(["d", "place"])
+    return names.join(first, ["d", "family"], "left").withColumn("meant", meant).select(
+        "d", "place", "surface", F.coalesce("meant.kind", "kind").alias("kind"),
+        F.coalesce("meant.canonical", "canonical").alias("canonical"), F.col("meant").isNotNull().alias("family_alone"),
+    )
+
+
+def mentions(found: DataFrame) -> DataFrame:
+    """(d, place, surface, kind, canonical, family_alone): every match, kind null where it is left alone."""
+    each = found.select("d", F.posexplode(F.arrays_zip("surfaces", "between")).alias("place", "m"))
+    # Only the end of what stands before tells a name; a title that is cut off tells none.
+    each = each.filter("m.surfaces is not null").select("d", "place", F.col("m.surfaces").alias("surface"), F.expr("right(m.between, 40)").alias("before"))
+    each = each.withColumn("kind", _kind(F.col("surface"), F.col("before")))
+    each = each.withColumn("canonical", _canonical(F.col("kind"), F.col("surface"))).drop("before").dropDuplicates(["d", "place"])
+    each = saved(each, "mentions")
+    named = F.coalesce(F.col("kind").isin(*NAMES), F.lit(False))
+    return each.filter(~named).withColumn("family_alone", F.lit(False)).unionByName(_coreferent(each.filter(named)))
+
+
+def _without_title(piece: Column, names: Column) -> tuple[Column, Column]:
+    """A text between matches with the document's whole names replaced, and the kinds of those, in order."""
+    any_of = F.concat(F.lit(r"(?<![\p{L}\p{N}_])(?:"), F.array_join(F.transform(names, lambda n: n["surface"]), "|"), F.lit(r")(?![\p{L}\p{N}_])"))
+    hits = F.transform(F.regexp_extract_all(piece, any_of, F.lit(0)), lambda m: F.get(F.filter(names, lambda n: n["surface"] == m), 0))
+    rest = F.split(piece, any_of, -1)
+    whole = F.array_join(F.zip_with(rest, hits, lambda a, b: F.concat(a, F.coalesce(b["new"], F.lit("")))), "")
+    return whole, F.transform(hits, lambda h: h["kind"])
 
 
 def replace(docs: DataFrame, key: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(row, text, kinds): each row of ``docs`` as a struct, its text with surrogates, and the types replaced in order.
+    """(row, text, kinds): each row of ``docs`` as a struct, its text with surrogates, and the types replaced.
+
+    Null and empty texts, and texts without entities, come through as they are; long ones are read whole. Rows
+    that repeat a document are replaced alike, with or without an id. Of candidates that collide the entity that
+    comes first by type and canonical form keeps its own. An empty table gives no rows. Columns of any name may
+    be present; only the two named are read.
 
-    Null and empty texts, and texts without entities, come through as they are. Rows that repeat a
-    document are replaced alike. Columns of any name may be present; only the two named are read.
+    Names are found after a title; a name of several parts that was found so is replaced in the rest of its
+    document too. Names that no title ever precedes stay.
     """
     body = F.col(f"`{text}`")
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    seen = saved(mentions(docs, doc_id, text), "mentions")
-    entities = seen.filter("kind is not null").groupBy("kind", "canonical").agg(F.lit(1)).select("kind", "canonical")
+    found = found_in(docs, doc_id, text)
+    seen = saved(mentions(found), "coreferent")
+    entities = seen.filter("kind is not null").select("kind", "canonical").distinct()
     chosen = assign(saved(entities, "entities"), key)
+    own = F.when(F.col("family_alone"), F.regexp_extract("surrogate", "[^ ]+$", 0)).otherwise(F.col("surrogate"))
     replaced = seen.join(chosen, ["kind", "canonical"], "left").select(
-        "d", "place", "kind", F.coalesce(_poured(F.col("kind"), F.col("surface"), F.col("surrogate")), F.col("surface")).alias("surface")
+        "d", "place", "kind", "surface", F.coalesce(_poured(F.col("kind"), F.col("surface"), own), F.col("surface")).alias("new")
     )
-    # A list per document, no longer than the document.
-    per_document = replaced.groupBy("d").agg(F.array_sort(F.collect_list(F.struct("place", "surface", "kind"))).alias("new"))
-    touched = docs.filter(_has(body)).select(row, body.alias("body"), _name_key(text, doc_id).alias("d")).join(per_document, "d")
-    between = F.split("body", ANY, -1)
-    whole = F.array_join(F.zip_with(between, F.col("new.surface"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    touched = touched.select("row", whole.alias("text"), F.filter("new.kind", lambda k: k.isNotNull()).alias("kinds"))
+    # Lists per document, no longer than the document; of two names the longer is tried first.
+    name = F.struct((-F.length("surface")).alias("n"), "surface", "new", "kind")
+    per_document = replaced.groupBy("d").agg(
+        F.array_sort(F.collect_list(F.struct("place", "new", "kind"))).alias("new"),
+        F.array_sort(F.collect_set(F.when(F.col("kind").isin(*NAMES) & F.col("surface").contains(" "), name))).alias("names"),
+    )
+    bare = F.size("names") == 0
+    around = F.transform("between", lambda p: F.struct(*[c.alias(n) for c, n in zip(_without_title(p, F.col("names")), ("text", "kinds"))]))
+    plain = F.transform("between", lambda p: F.struct(p.alias("text"), F.array().cast("array<string>").alias("kinds")))
+    touched = found.join(per_document, "d").withColumn("around", F.when(bare, plain).otherwise(around))
+    whole = F.array_join(F.zip_with("around", F.col("new.new"), lambda a, b: F.concat(a["text"], F.coalesce(b, F.lit("")))), "")
+    kinds = F.concat(F.filter("new.kind", lambda k: k.isNotNull()), F.flatten("around.kinds"))
+    touched = touched.select("row", whole.alias("text"), kinds.alias("kinds"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     return docs.filter(~_has(body)).select(row, body.alias("text"), F.array().cast("array<string>").alias("kinds")).unionByName(touched)
 
 

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
@@ -375,6 +376,58 @@ def test_surrogates_of_any_script_and_of_signs(spark):
     assert all("+" not in out["secret", s] for s in secrets[:2])
 
 
+TITLED = [
+    (1, "Mr John Smith met Mr Smith. Then John Smith and Dr. Jane Roe left; Professor Roe came back. JOHN SMITH, Johnny John Smithson."),
+    (2, "Mrs Smith, Mr John Smith, Frau Dr. Smith and Dr. Smith. Mr McDonald, Mr O'Brien."),
+    (3, "Herr Dr. Karl Weber und Dr. Weber, Karl Weber."),
+    (4, "IBAN DE89370400440532013000 or GB82 WEST 1234 5698 7654 32, SSN 123-45-6789, call 743-555-3824. Mr John Smith"),
+]
+
+
+def test_people_of_a_document_have_one_surrogate(spark):
+    docs = spark.createDataFrame(TITLED, "doc_id long, text string")
+    text = {r["row"]["doc_id"]: r["text"] for r in surrogates.replace(docs, "key").collect()}
+    john, family, again, jane, roe = re.fullmatch(
+        r"Mr (\w+ \w+) met Mr (\w+)\. Then (\w+ \w+) and Dr\. (\w+ \w+) left; Professor (\w+) came back\. JOHN SMITH, Johnny John Smithson\.", text[1]
+    ).groups()
+    assert john == again and john.split()[1] == family and jane.split()[1] == roe and len({"Smith", "Roe", family, roe}) == 4
+    mrs, mr, frau, dr, scot, irish = re.fullmatch(r"Mrs (\w+), Mr (\w+ \w+), Frau Dr\. (\w+) and Dr\. (\w+)\. Mr (\w+), Mr (\w+)\.", text[2]).groups()
+    assert mr == john and mrs == frau == dr != family and len({scot, irish, family, roe, mrs}) == 5
+    karl, weber, bare = re.fullmatch(r"Herr Dr\. (\w+ \w+) und Dr\. (\w+), (\w+ \w+)\.", text[3]).groups()
+    assert karl == bare and karl.split()[1] == weber and karl.split()[0] in surrogates.GIVEN["latin", "male"]
+    first, second, ssn, phone, same = re.fullmatch(r"IBAN (\w+) or ([\w ]+), SSN ([\d-]+), call ([\d-]+)\. Mr (\w+ \w+)", text[4]).groups()
+    for iban, country, shape in ((first, "DE", r"\d{20}"), (second.replace(" ", ""), "GB", r"\d\d[A-Z]{4}\d{14}")):
+        assert iban.startswith(country) and re.fullmatch(shape, iban[2:]) and iban not in TITLED[3][1].replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
+    assert re.fullmatch(r"(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}", ssn) and re.fullmatch(r"[2-9]\d\d-[2-9]\d\d-\d{4}", phone) and same == john
+
+
+def test_surrogates_of_the_table_against_plain_search(spark):
+    """What a plain search finds is replaced, the rest stays byte for byte; one surrogate per entity, one entity per surrogate."""
+    docs = queries.documents(spark, SF)
+    meant, known = {}, set()
+    for r in surrogates.replace(docs, "key").collect():
+        before, after = r["row"]["text"], r["text"]
+        if before is None:
+            assert after is None
+            continue
+        spans = [m for m in regex.finditer(surrogates.ANY, before)]
+        assert bool(spans) or before == after
+        titled = {m[0] for m in spans if regex.fullmatch(surrogates._NAME, m[0])}
+        assert not any(" " in n for n in titled) or len(titled) < 50  # names are few enough to try all
+        pieces = regex.split(surrogates.ANY, before)
+        whole = sorted((n for n in titled if " " in n), key=len, reverse=True)
+        bare = regex.compile("|".join(rf"(?<!\w)(?:{regex.escape(n)})(?!\w)" for n in whole)) if whole else None
+        form = "(.+?)".join("(?:.+?)".join(map(regex.escape, bare.split(p))) if bare else regex.escape(p) for p in pieces)
+        got = regex.fullmatch(form, after, regex.S)
+        assert got, r["row"]["doc_id"]
+        for m, new in zip(spans, got.groups()):
+            if "@" in m[0]:
+                known.add(m[0].lower())
+                assert meant.setdefault(m[0].lower(), new.lower()) == new.lower() != m[0].lower()
+    assert len(set(meant.values())) == len(meant) > 0 and not set(meant.values()) & known
+
+
 def test_pipeline_stages(spark, path):
     """Each stage against the plain rule, on what the stage before kept."""
     docs, kept = queries.documents(spark, SF), []
