@@ -67,11 +67,14 @@ class SeenIds(StatefulProcessor):
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(rows), ignore_index=True)
-        # Copies that differ are settled by time, user, song; nulls first.
-        rows = rows.sort_values(["listened_at", "user_id", "song_id"], na_position="first").drop_duplicates("id")
+        if rows["id"].duplicated().any():
+            # Copies that differ are settled by time, user, song; nulls first.
+            rows = rows.sort_values(["listened_at", "user_id", "song_id"], na_position="first").drop_duplicates("id")
         ids = rows["id"].to_numpy(np.int64).view(np.uint64)
-        number, held = self.newest.get() if self.newest.exists() else (0, 0)
-        layers = [Layer(k, self.first_layer, self._bits(k)) for k in range(number + 1)]
+        # Every call to the state is a round trip to the JVM; a new key has nothing to ask for but this.
+        newest = self.newest.get()
+        number, held = newest or (0, 0)
+        layers = [Layer(k, self.first_layer, bytes(self.layers.getValue((k,))[0]) if newest else None) for k in range(number + 1)]
         fresh = ~np.logical_or.reduce([layer.holds(ids) for layer in layers])
         left = ids[fresh]
         touched = {number}
@@ -88,15 +91,12 @@ class SeenIds(StatefulProcessor):
             for k in touched:
                 self.layers.updateValue((k,), (layers[k].bits.tobytes(),))
             self.newest.update((number, held))
-        for timer in list(self.handle.listTimers()):
+        for timer in list(self.handle.listTimers()) if newest else ():
             self.handle.deleteTimer(timer)
         self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.keep_ms)
         if fresh.any():
             yield rows.loc[fresh, ["user_id", "song_id"]].assign(day=key[0])
 
-    def _bits(self, layer: int) -> bytes | None:
-        return bytes(self.layers.getValue((layer,))[0]) if self.layers.containsKey((layer,)) else None
-
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         self.layers.clear()
         self.newest.clear()

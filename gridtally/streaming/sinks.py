@@ -108,6 +108,26 @@ def _each_batch(
         spark.conf.set(setting, before)
 
 
+def _append_balanced(rows: Callable[[DataFrame], DataFrame], batch: DataFrame, path: str, batch_id: int, by: list[str]) -> None:
+    """Write ``rows`` of a micro-batch as few files of a folder, a folder too big for a task in several.
+
+    Spark turns adaptive execution off for a stream with state, and REBALANCE is then dropped without a word: every
+    task of the last shuffle writes into every folder. The state's own plan is fixed before a micro-batch is
+    handed over, so adaptive execution is on for what is written of it, and as it was again after.
+    """
+    spark, setting = batch.sparkSession, "spark.sql.adaptive.enabled"
+    before = spark.conf.get(setting, "true")
+    spark.conf.set(setting, "true")
+    try:
+        append_delta(rows(batch).hint("rebalance", *by), path, batch_id, by)
+    finally:
+        spark.conf.set(setting, before)
+
+
+def _listen_deltas(batch: DataFrame) -> DataFrame:
+    return batch.groupBy("user_id", "day", "song_id").agg(F.count(F.lit(1)).alias("delta"))
+
+
 def upsert_history(listens: DataFrame, path: str, checkpoint: str, every: str | None = COUNT_EVERY) -> StreamingQuery:
     """Listen events into the history table; read it with ``read_history``.
 
@@ -131,8 +151,7 @@ def increment_counters(events: DataFrame, path: str, checkpoint: str, every: str
     """Add (user, day, song) counts of deduplicated events; read them with ``read_counters``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        counts = batch.groupBy("user_id", "day", "song_id").agg(F.count(F.lit(1)).alias("delta"))
-        append_delta(counts.hint("rebalance", "day"), path, batch_id, ["day"])
+        _append_balanced(_listen_deltas, batch, path, batch_id, ["day"])
 
     return _each_batch(events, write, checkpoint, every)
 
@@ -145,8 +164,8 @@ def stream_hourly_counts(raw: DataFrame, path: str, checkpoint: str, every: str
     """Running hourly cells; read them with ``read_hourly_counts``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        counts = heatmap_hourly(batch).withColumn("dt", F.to_date("bucket_start"))
-        append_delta(counts.hint("rebalance", "dt"), path, batch_id, ["dt"])
+        counts = lambda rows: heatmap_hourly(rows).withColumn("dt", F.to_date("bucket_start"))
+        _append_balanced(counts, batch, path, batch_id, ["dt"])
 
     return _each_batch(raw, write, checkpoint, every)
 
@@ -171,8 +190,7 @@ def count_with_bloom(
     fresh = bloom_state.fresh_events(listen_day(listens), first_layer, shares, keep_days)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        counts = batch.groupBy("user_id", "day", "song_id").agg(F.count(F.lit(1)).alias("delta"))
-        append_delta(counts.hint("rebalance", "day"), counters, batch_id, ["day"])
+        _append_balanced(_listen_deltas, batch, counters, batch_id, ["day"])
 
     return _each_batch(fresh, write, checkpoint, every, timers=True)
 

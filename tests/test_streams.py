@@ -2,6 +2,7 @@
 
 import random
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -430,3 +431,24 @@ def test_a_forgotten_key_keeps_its_last_kept_time(spark, path, few_tasks):
     )
     out = sinks.read_thinned(spark, path("out"), spark.createDataFrame([], schema).schema)
     assert {1, 2, 3, 5} <= {r.event_id for r in out.collect()} <= {1, 2, 3, 5, 6}
+
+
+def _files(folder, below=""):
+    return [str(f) for f in Path(folder).glob(f"{below}**/*.parquet")]
+
+
+@pytest.mark.parametrize("counted", ["bloom", "exact"])
+def test_counters_of_a_stateful_stream_write_a_day_once(spark, path, few_tasks, counted):
+    """Two tasks hold events of each of three days: a file a day and micro-batch, not one a task."""
+    rows = spark.range(600).selectExpr(
+        "concat('e', id) AS event_id", "concat('u', id) AS user_id", "'s' AS song_id", "'p' AS provider",
+        "1704067200L + 86400 * (id % 3) AS listened_at",
+    )
+    rows.coalesce(1).write.parquet(path("in"))
+    source = event_log.read_file_stream(spark, path("in"), schemas.LISTEN_EVENT)
+    if counted == "bloom":
+        _run(sinks.count_with_bloom(source, path("counters"), path("cp"), shares=8, every=None))
+    else:
+        _run(sinks.increment_counters(streams.dedup_events_stream(source), path("counters"), path("cp"), every=None))
+    assert len(_files(path("counters"), "batch=0/")) == 3
+    assert sinks.read_counters(spark, path("counters")).agg(F.sum("listen_count")).first()[0] == 600
