@@ -24,12 +24,14 @@ from workload.registry import query
 
 #: Files, and so micro-batches, that a table arrives in.
 ARRIVALS = 6
+ROW_GROUP_BYTES = 4 << 20
 
 
 def _arriving(spark, rows: DataFrame) -> DataFrame:
     """Rows as a stream of several micro-batches, dealt out in turn: out of time order, copies apart."""
     folder = work_path(spark, "arrivals")
-    rows.repartition(ARRIVALS).write.parquet(folder)
+    # A row group is read by one task: with small ones a micro-batch of one file is still read by many.
+    rows.repartition(ARRIVALS).write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(folder)
     return event_log.read_file_stream(spark, folder, rows.schema, files_per_batch=1)
 
 
