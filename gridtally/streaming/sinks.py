@@ -77,7 +77,9 @@ def land_events(
     """
     folders = (["client_id"] if by_client else []) + ["dt", "hour"]
     placed = with_landing_hour(raw)
-    if hour_writers:
+    if not hour_writers:
+        placed = placed.hint("rebalance", *folders)
+    else:
         share = F.pmod(F.xxhash64("client_id", "screen_id", "event_time"), F.lit(hour_writers))
         placed = placed.withColumn("_share", share).repartition("dt", "hour", "_share").drop("_share")
     writer = placed.writeStream.format(file_format).partitionBy(*folders)

@@ -452,3 +452,16 @@ def test_counters_of_a_stateful_stream_write_a_day_once(spark, path, few_tasks,
         _run(sinks.increment_counters(streams.dedup_events_stream(source), path("counters"), path("cp"), every=None))
     assert len(_files(path("counters"), "batch=0/")) == 3
     assert sinks.read_counters(spark, path("counters")).agg(F.sum("listen_count")).first()[0] == 600
+
+
+def test_landing_gathers_an_hour_of_several_splits(spark, path):
+    """Four files of one micro-batch hold the same three hours: the tasks that read them do not each write all."""
+    rows = spark.range(400).selectExpr(
+        "'c' AS client_id", "'s' AS screen_id", "'b' AS batch_id", "concat('2024-01-01T0', id % 3, ':00:00Z') AS event_time",
+        "0.1D AS x_norm", "0.2D AS y_norm", "'mousemove' AS event_type", "cast(null AS string) AS received_at",
+    )
+    rows.repartition(4).write.parquet(path("in"))
+    source = event_log.read_file_stream(spark, path("in"), schemas.RAW_EVENT)
+    _run(sinks.land_events(source, path("out"), path("cp"), "parquet", None))
+    assert len(spark.read.parquet(path("out")).inputFiles()) == 3
+    assert spark.read.parquet(path("out")).count() == 400
