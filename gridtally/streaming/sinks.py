@@ -71,9 +71,10 @@ def land_events(
 ) -> StreamingQuery:
     """Stream of raw events → immutable files by event hour (UTC) of limited length.
 
-    Straight from a source no shuffle is needed: every task writes the hours it holds, which for
-    live traffic is one or two. After a shuffle every task holds a bit of every hour; then
-    ``hour_writers`` gathers each hour in that many tasks, by hash, so that files do not multiply.
+    Straight from a source each hour is gathered in one task, and one too big for a task in several (REBALANCE):
+    a source may hand over a micro-batch of many hours as one split, or every hour in every split. Behind
+    state, as after dedup, Spark drops REBALANCE; there ``hour_writers`` gathers each hour in that many
+    tasks, by hash.
     """
     folders = (["client_id"] if by_client else []) + ["dt", "hour"]
     placed = with_landing_hour(raw)
